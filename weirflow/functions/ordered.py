@@ -27,17 +27,23 @@ def range_chunks(df: DataFrame, order: list[str], chunks: int | None = None) ->
     return reliable_checkpoint(placed)
 
 
-def running_sum(placed: DataFrame, keys: list[str], order: list[str], value: Column, out: str) -> DataFrame:
-    """Inclusive running sum of ``value`` per key in ``order``; ``placed`` comes from
-    :func:`range_chunks` (or has a ``chunk`` column that rises with the order)."""
+def running_sum(
+    placed: DataFrame, keys: list[str], order: list[str], value: Column, out: str, chunk: list[str] = (CHUNK,)
+) -> DataFrame:
+    """Inclusive running sum of ``value`` per key in ``order``.
+
+    ``placed`` comes from :func:`range_chunks`, or has ``chunk`` columns of its own that sort like the
+    order and bound the rows of one (key, chunk).  Keys must not be NULL.
+    """
+    spot = [*keys, *chunk]
     valued = placed.withColumn("_v", value)
-    totals = valued.groupBy(*keys, CHUNK).agg(F.sum("_v").alias("_total"))
-    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(*keys, CHUNK, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_carried"))
-    inside = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    totals = valued.groupBy(*spot).agg(F.sum("_v").alias("_total"))
+    earlier = Window.partitionBy(*keys).orderBy(*chunk).rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select(*spot, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_carried"))
+    inside = Window.partitionBy(*spot).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
         valued.withColumn("_inside", F.sum("_v").over(inside))
-        .join(carried, [*keys, CHUNK])
+        .join(carried, spot)
         .withColumn(out, F.col("_carried") + F.col("_inside"))
         .drop("_v", "_inside", "_carried")
     )
