@@ -40,12 +40,16 @@ def iso_text(as_of: dt.datetime) -> str:
     return dt.datetime.fromtimestamp(epoch_ms(as_of) / 1000, dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
 
+def _with_seconds(text: Column) -> Column:
+    return F.when(F.length(text) == 16, F.concat(text, F.lit(":00"))).otherwise(text)
+
+
 def parsed_millis(text: Column) -> Column:
     """Epoch milliseconds of ISO instants, epoch numbers and ISO local times (read as UTC)."""
     return (
         F.when(text.rlike(INTEGER_TEXT), text.try_cast("bigint"))
         .when(text.rlike(INSTANT_TEXT), F.unix_millis(F.try_to_timestamp(F.upper(text))))
-        .when(text.rlike(LOCAL_TEXT), F.unix_millis(F.try_to_timestamp(F.concat(F.upper(text), F.lit("Z")))))
+        .when(text.rlike(LOCAL_TEXT), F.unix_millis(F.try_to_timestamp(F.concat(_with_seconds(F.upper(text)), F.lit("Z")))))
     )
 
 

@@ -19,8 +19,17 @@ LOOSE_DECIMAL_TEXT = r"^[+-]?(NaN|Infinity|([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]
 
 
 def trimmed(text: Column) -> Column:
-    """Trim blanks and control characters at both ends, not only spaces."""
-    return F.trim(text, F.lit(BLANKS))
+    """Trim blanks and control characters at both ends, not only spaces.
+
+    The plain trim is several times faster, and what it leaves rarely has a control character at an end.
+    """
+    plain = F.trim(text)
+    return F.when((plain < " ") | (F.right(plain, F.lit(1)) < " "), F.trim(text, F.lit(BLANKS))).otherwise(plain)
+
+
+def is_blank(text: Column) -> Column:
+    """Nothing but blanks and control characters; decided at the first other character."""
+    return text.rlike(r"^[\x00-\x20]*\z")
 
 
 def strict_int(text: Column) -> Column:
@@ -38,7 +47,8 @@ def strict_double(text: Column) -> Column:
 def loose_double(text: Column) -> Column:
     """Double of a number in any JVM spelling (hexadecimal excepted); NaN stays NaN."""
     bare = trimmed(text)
-    return F.when(bare.rlike(LOOSE_DECIMAL_TEXT), F.regexp_replace(bare, r"(?<=[0-9.])[fFdD]\z", "").try_cast("double"))
+    suffixed = F.when(bare.rlike(LOOSE_DECIMAL_TEXT), F.regexp_replace(bare, r"(?<=[0-9.])[fFdD]\z", "").try_cast("double"))
+    return F.when(text.rlike(DECIMAL_TEXT), text.try_cast("double")).otherwise(suffixed)
 
 
 def csv_boolean(text: Column) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from weirflow.config import TopicConfig
 from weirflow.functions.times import DAY_MS, as_of_millis, as_of_timestamp, cob_date, event_time, iso_text
-from weirflow.operators.rules import _field, with_numbers
+from weirflow.operators.rules import _field, with_numbers, without_numbers
 
 # Fixed values of the scoring and priority rules.
 ALERT_TYPES = ("SECURITY_ALERT", "FRAUD_DETECTED")
@@ -108,7 +108,7 @@ def enrich(df: DataFrame, as_of: dt.datetime) -> DataFrame:
         "is_critical_event": is_critical_event(rec),
         **processing_metadata(),
     }
-    return numbered.withColumns(out).drop("_amount", "_quantity", "_unit_price")
+    return without_numbers(numbered.withColumns(out))
 
 
 ENRICHMENT_COLUMNS = [

@@ -186,7 +186,7 @@ def parse(df: DataFrame, topic: TopicConfig, as_of: dt.datetime) -> DataFrame:
 
     error = F.coalesce(
         F.when(F.col("value").isNull(), F.lit("null_value")),
-        F.when(values.trimmed(F.col("value")) == "", F.lit("empty_message")),
+        F.when(values.is_blank(F.col("value")), F.lit("empty_message")),
         F.when(~is_csv & (F.col("_json").isNull() | F.col("_json")[_BROKEN].isNotNull()), F.lit("malformed_json")),
         F.when(is_csv & _broken_csv(F.col("value")), F.lit("malformed_csv")),
         *errors,

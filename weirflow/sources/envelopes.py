@@ -69,7 +69,17 @@ def file_batch(spark: SparkSession, path: str, file_format: str = "parquet") ->
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on inputs of fewer splits than cores.
+
+    Parsing costs far more than reading, and a small file with one row group would keep one core busy.
+    Large inputs have enough splits, so they are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def _quoted(c: Column) -> Column:
@@ -134,7 +144,7 @@ def user_event_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(n % 223 == 1, F.lit(None).cast("string"))
         .when(n % 227 == 2, F.lit("[1, 2, 3]"))
         .when(n % 10 == 0, csv)
-        .when(n % 10 == 1, F.expr("left({0}, length({0}) - 9)".format("_json")))
+        .when(n % 10 == 1, F.left("_json", F.length("_json") - 9))
         .otherwise(F.col("_json"))
     )
     return e.withColumn("_json", json).select(
@@ -280,3 +290,38 @@ def order_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").cast("timestamp").alias("timestamp"),
         _no_headers().alias("headers"),
     )
+
+
+def page_event_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as page events for the JSON Schema check; some break one keyword each."""
+    n = F.col("event_id")
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS")
+    user = F.when(n % 17 == 3, F.lit("")).when(n % 19 == 4, F.concat(F.lit(',"user_id":'), F.col("user_id").cast("string"))).otherwise(
+        F.concat(F.lit(',"user_id":'), _quoted(F.format_string("user-%05d", "user_id")))
+    )
+    text = F.concat(
+        F.lit('{"event_type":'),
+        _quoted(F.col("event_type")),
+        F.lit(',"page_url":"https://shop.example.com/'),
+        F.when(n % 23 == 5, F.lit("a b")).otherwise(F.concat(F.lit("p/"), n.cast("string"))),
+        F.lit('","properties":'),
+        F.when(n % 37 == 8, F.lit('"none"')).otherwise(F.col("props")),
+        F.when(n % 31 == 7, F.lit(',"referrer":null')).otherwise(F.lit("")),
+        F.lit(',"session_id":"s-'),
+        (n % 100).cast("string"),
+        F.lit('","timestamp":"'),
+        iso,
+        F.when(n % 29 == 6, F.lit('"')).otherwise(F.lit('Z"')),
+        user,
+        F.lit("}"),
+    )
+    value = F.when(n % 41 == 9, F.left(text, F.length(text) - 4)).when(n % 43 == 10, F.concat(F.lit("["), text, F.lit("]"))).otherwise(text)
+    return _table(spark, sf_dir, "events").select(
+        F.lit("page.events.v1").alias("topic"),
+        (n % 8).cast("int").alias("partition"),
+        F.floor(n / 8).cast("long").alias("offset"),
+        F.col("user_id").cast("string").alias("key"),
+        value.alias("value"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+        _no_headers().alias("headers"),
+    )
