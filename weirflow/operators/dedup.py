@@ -16,7 +16,7 @@ POSITION = ["topic", "partition", "offset"]
 
 def position_number() -> Column:
     """(partition, offset) as one exact number that sorts like the pair."""
-    return F.col("partition").cast("decimal(38,0)") * F.lit(10**19).cast("decimal(20,0)") + F.col("offset").cast("decimal(20,0)")
+    return F.col("partition").cast("decimal(38,0)") * F.lit("10000000000000000000").cast("decimal(20,0)") + F.col("offset").cast("decimal(20,0)")
 
 
 def dedup_offset(df: DataFrame) -> DataFrame:

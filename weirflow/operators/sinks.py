@@ -12,10 +12,12 @@ def write_batch(df: DataFrame, path: str, partition_columns: tuple[str, ...], ba
     """Write one batch below ``ingest_batch=<id>``.
 
     Only the partitions of this batch are overwritten, so writing a batch again replaces what the
-    first attempt left behind, whole or partial.
+    first attempt left behind, whole or partial.  Rows are brought together by partition first, by a
+    rebalance: it keeps small partitions in one file and splits large ones over several tasks.
     """
     (
-        df.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+        df.hint("rebalance", *partition_columns)
+        .withColumn(BATCH, F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BATCH, *partition_columns)
@@ -25,7 +27,8 @@ def write_batch(df: DataFrame, path: str, partition_columns: tuple[str, ...], ba
 
 
 def append_table(df: DataFrame, path: str, partition_columns: tuple[str, ...], file_format: str = "parquet") -> None:
-    df.write.mode("append").partitionBy(*partition_columns).format(file_format).save(path)
+    clustered = df.hint("rebalance", *partition_columns)
+    clustered.write.mode("append").partitionBy(*partition_columns).format(file_format).save(path)
 
 
 def read_table(spark: SparkSession, path: str, file_format: str = "parquet", merge_schema: bool = False) -> DataFrame:
@@ -35,7 +38,8 @@ def read_table(spark: SparkSession, path: str, file_format: str = "parquet", mer
 
 def write_jsonl(df: DataFrame, path: str, partition_columns: tuple[str, ...], text: str = "record") -> None:
     """JSON Lines files of ready-made text below ``<column>=<value>/`` directories."""
-    df.select(*partition_columns, F.col(text).alias("value")).write.mode("append").partitionBy(*partition_columns).text(path)
+    lines = df.select(*partition_columns, F.col(text).alias("value")).hint("rebalance", *partition_columns)
+    lines.write.mode("append").partitionBy(*partition_columns).text(path)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:

@@ -15,6 +15,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The JVM never compiles methods above 8000 bytes; rule chains reach that, and beyond it Spark's
+    # plan without whole-stage code is the faster one.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
