@@ -163,7 +163,7 @@ COMMERCE_EVENTS = TopicConfig(
     name="commerce-events",
     topic="commerce.events.v1",
     schema=COMMERCE_SCHEMA,
-    destination=Destination("data-lake", "events/commerce", "commerce_events"),
+    destination=Destination("data-lake", "events/commerce", "commerce_events", partition_columns=("year", "month")),
 )
 
 DEFAULT_TOPICS = (USER_EVENTS, ORDER_EVENTS, COMMERCE_EVENTS)

@@ -32,6 +32,11 @@ def is_blank(text: Column) -> Column:
     return text.rlike(r"^[\x00-\x20]*\z")
 
 
+def is_json_object(text: Column, parsed: Column) -> Column:
+    """Whether ``parsed`` (the VARIANT of ``text``) is an object, seen from the first character."""
+    return F.coalesce(parsed.isNotNull() & F.ltrim(text, F.lit(BLANKS)).startswith("{"), F.lit(False))
+
+
 def strict_int(text: Column) -> Column:
     return F.when(text.rlike(INTEGER_TEXT), text.try_cast("int"))
 

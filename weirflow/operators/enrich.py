@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from weirflow.config import TopicConfig
 from weirflow.functions.times import DAY_MS, as_of_millis, as_of_timestamp, cob_date, event_time, iso_text
+from weirflow.functions.values import is_json_object
 from weirflow.operators.rules import _field, with_numbers, without_numbers
 
 # Fixed values of the scoring and priority rules.
@@ -150,13 +151,15 @@ def with_record_metadata(df: DataFrame, as_of: dt.datetime) -> DataFrame:
     """
     meta = F.to_json(record_metadata(as_of))
     text = F.trim("value")
-    is_object = F.coalesce(F.schema_of_variant(F.try_parse_json("value")).startswith("OBJECT"), F.lit(False))
+    is_object = is_json_object(F.col("value"), F.try_parse_json("value"))
     members = F.substring(text, F.lit(2), F.length(text) - 2)
+    # {"original_value":"..."}: the text ends in a quote, so only the closing brace is trimmed.
+    original = F.to_json(F.struct(F.col("value").alias("original_value")))
     head = (
         F.when(F.col("value").isNull(), F.lit("{"))
         .when(is_object & (F.trim(members) == ""), F.lit("{"))
         .when(is_object, F.concat(F.lit("{"), members, F.lit(",")))
-        .otherwise(F.concat(F.substring(F.to_json(F.struct(F.col("value").alias("original_value"))), F.lit(1), F.length(F.to_json(F.struct(F.col("value").alias("original_value")))) - 1), F.lit(",")))
+        .otherwise(F.concat(F.rtrim(original, F.lit("}")), F.lit(",")))
     )
     return df.withColumn("record", F.concat(head, F.lit('"_metadata":'), meta, F.lit("}")))
 

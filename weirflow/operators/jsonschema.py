@@ -76,64 +76,129 @@ def _step(name: str) -> str:
     return f"$['{escaped}']"
 
 
-def _child(node: Column, name: str) -> Column:
-    return F.try_variant_get(node, _step(name), "variant")
-
+class _Node:
+    """A place in the document: its VARIANT, its type text, and its members once they are columns."""
 
-def _has_type(node: Column, names: str | list[str]) -> Column:
-    kind = F.schema_of_variant(node)
-    hit = F.lit(False)
-    for name in [names] if isinstance(names, str) else names:
-        for prefix in TYPE_PREFIXES[name]:
-            hit = hit | kind.startswith(prefix)
-    return hit
+    def __init__(self, value: Column, kind: Column, members: dict[str, _Node] | None = None):
+        self.value, self.kind, self.members = value, kind, members
 
+    def member(self, name: str) -> _Node:
+        if self.members is not None and name in self.members:
+            return self.members[name]
+        child = F.try_variant_get(self.value, _step(name), "variant")
+        return _Node(child, F.schema_of_variant(child))
 
-def _text(node: Column) -> Column:
-    return F.when(_has_type(node, "string"), F.try_variant_get(node, "$", "string"))
+    def is_type(self, names: str | list[str]) -> Column:
+        hit = F.lit(False)
+        for name in [names] if isinstance(names, str) else names:
+            for prefix in TYPE_PREFIXES[name]:
+                hit = hit | self.kind.startswith(prefix)
+        return hit
 
+    def text(self) -> Column:
+        return F.when(self.kind == "STRING", F.try_variant_get(self.value, "$", "string"))
 
-def _number(node: Column) -> Column:
-    return F.when(_has_type(node, "number"), F.try_variant_get(node, "$", "double"))
+    def number(self) -> Column:
+        return F.when(self.is_type("number"), F.try_variant_get(self.value, "$", "double"))
 
 
 def _java_pattern(pattern: str) -> str:
     return pattern[:-1] + r"\z" if pattern.endswith("$") and not pattern.endswith(r"\$") else pattern
 
 
-def _conditions(schema: dict, node: Column, label: str) -> list[tuple[str, Column]]:
-    """(keyword label, failed) for one schema node; a missing node fails nothing."""
+def _names(schema: dict) -> list[str]:
+    return list(dict.fromkeys([*schema.get("properties", {}), *schema.get("required", [])]))
+
+
+def _conditions(schema: dict, node: _Node, label: str, elements: dict[str, Column]) -> list[tuple[str, Column]]:
+    """(keyword label, failed) for one schema node; a missing node fails nothing.
+
+    ``elements`` holds the prepared array elements by label.
+    """
     found: list[tuple[str, Column]] = []
     if "type" in schema:
-        found.append((f"{label}:type", ~_has_type(node, schema["type"])))
+        found.append((f"{label}:type", ~node.is_type(schema["type"])))
     if "enum" in schema:
         words = [v for v in schema["enum"] if isinstance(v, str)]
-        found.append((f"{label}:enum", ~F.coalesce(_text(node).isin(*words), F.lit(False))))
+        found.append((f"{label}:enum", ~F.coalesce(node.text().isin(*words), F.lit(False))))
     if "pattern" in schema:
-        found.append((f"{label}:pattern", ~_text(node).rlike(_java_pattern(schema["pattern"]))))
+        found.append((f"{label}:pattern", ~node.text().rlike(_java_pattern(schema["pattern"]))))
     if "minimum" in schema:
-        found.append((f"{label}:minimum", _number(node) < schema["minimum"]))
+        found.append((f"{label}:minimum", node.number() < schema["minimum"]))
     if schema.get("format") in FORMATS:
-        found.append((f"{label}:format", ~_text(node).rlike(FORMATS[schema["format"]])))
-    is_object = _has_type(node, "object")
+        found.append((f"{label}:format", ~node.text().rlike(FORMATS[schema["format"]])))
+    is_object = node.is_type("object")
     for name in schema.get("required", []):
-        found.append((f"{label}.{name}:required", is_object & _child(node, name).isNull()))
+        found.append((f"{label}.{name}:required", is_object & node.member(name).value.isNull()))
     if schema.get("additionalProperties") is False:
         allowed = F.array(*[F.lit(n) for n in schema.get("properties", {})]).cast("array<string>")
-        keys = F.json_object_keys(F.to_json(node))
+        keys = F.json_object_keys(F.to_json(node.value))
         found.append((f"{label}:additionalProperties", is_object & (F.size(F.array_except(keys, allowed)) > 0)))
     for name, sub in schema.get("properties", {}).items():
-        child = _child(node, name)
-        found += [(key, child.isNotNull() & failed) for key, failed in _conditions(sub, child, f"{label}.{name}")]
+        child = node.member(name)
+        found += [(key, child.value.isNotNull() & failed) for key, failed in _conditions(sub, child, f"{label}.{name}", elements)]
     if isinstance(schema.get("items"), dict):
-        elements = F.try_variant_get(node, "$", "array<variant>")
-        for key, _ in _conditions(schema["items"], F.lit(None).cast("variant"), f"{label}[]"):
-            found.append((key, F.exists(elements, _element_check(schema["items"], f"{label}[]", key))))
+        inner, place = schema["items"], f"{label}[]"
+        if place in elements:
+            array, as_node = elements[place], lambda x: _element_node(inner, x)
+        else:
+            array, as_node = F.try_variant_get(node.value, "$", "array<variant>"), lambda x: _Node(x, F.schema_of_variant(x))
+        nothing = _Node(F.lit(None).cast("variant"), F.lit(None).cast("string"))
+        for key, _ in _conditions(inner, nothing, place, {}):
+            found.append((key, F.exists(array, _element_check(inner, place, key, as_node))))
     return found
 
 
-def _element_check(schema: dict, label: str, key: str):
-    return lambda x: F.coalesce(dict(_conditions(schema, x, label))[key], F.lit(False))
+def _element_node(schema: dict, x: Column) -> _Node:
+    members = {n: _Node(x["members"][n], x["kinds"][n]) for n in _names(schema)}
+    return _Node(x["value"], x["kind"], members)
+
+
+def _element_check(schema: dict, label: str, key: str, as_node):
+    return lambda x: F.coalesce(dict(_conditions(schema, as_node(x), label, {}))[key], F.lit(False))
+
+
+def _lookup(node: Column, name: str) -> Column:
+    return F.try_variant_get(node, _step(name), "variant")
+
+
+def _with_members(names: list[str]):
+    def run(x: Column) -> Column:
+        members = F.struct(*[_lookup(x, n).alias(n) for n in names])
+        return F.struct(x.alias("value"), F.schema_of_variant(x).alias("kind"), members.alias("members"))
+
+    return run
+
+
+def _with_kinds(names: list[str]):
+    def run(x: Column) -> Column:
+        kinds = F.struct(*[F.schema_of_variant(x["members"][n]).alias(n) for n in names])
+        return F.struct(x["value"].alias("value"), x["kind"].alias("kind"), x["members"].alias("members"), kinds.alias("kinds"))
+
+    return run
+
+
+def _prepare(df: DataFrame, schema: dict) -> tuple[DataFrame, _Node, dict[str, Column]]:
+    """Put the members of the document, and those of its arrays' elements, into columns: each is
+    looked up once per row, however many keywords test it."""
+    names = _names(schema)
+    df = df.withColumn("_kind", F.schema_of_variant("_doc"))
+    if not names:
+        return df, _Node(F.col("_doc"), F.col("_kind")), {}
+    df = df.withColumn("_members", F.struct(*[_lookup(F.col("_doc"), n).alias(n) for n in names]))
+    df = df.withColumn("_kinds", F.struct(*[F.schema_of_variant(F.col("_members")[n]).alias(n) for n in names]))
+    elements = {}
+    for name, sub in schema.get("properties", {}).items():
+        inner = sub.get("items")
+        inner_names = _names(inner) if isinstance(inner, dict) else []
+        if not inner_names:
+            continue
+        out = f"_elements_{len(elements)}"
+        array = F.try_variant_get(F.col("_members")[name], "$", "array<variant>")
+        df = df.withColumn(out, F.transform(array, _with_members(inner_names))).withColumn(out, F.transform(out, _with_kinds(inner_names)))
+        elements[f"$.{name}[]"] = F.col(out)
+    members = {n: _Node(F.col("_members")[n], F.col("_kinds")[n]) for n in names}
+    return df, _Node(F.col("_doc"), F.col("_kind"), members), elements
 
 
 def load_schema(path: str | None) -> dict | None:
@@ -153,11 +218,8 @@ def check_schema(df: DataFrame, schema: dict | None, value: str = "value") -> Da
     Text that is no JSON at all gets the single error ``malformed``.
     """
     schema = schema or {"type": "object"}
-    doc = df.withColumn("_doc", F.try_parse_json(value))
-    errors = [F.when(failed, F.lit(label)) for label, failed in _conditions(schema, F.col("_doc"), "$")]
+    prepared, root, elements = _prepare(df.withColumn("_doc", F.try_parse_json(value)), schema)
+    errors = [F.when(failed, F.lit(label)) for label, failed in _conditions(schema, root, "$", elements)]
     found = F.when(F.col("_doc").isNull(), F.array(F.lit("malformed"))).otherwise(F.array_compact(F.array(*errors)))
-    return (
-        compute_once(doc, {"schema_errors": found})
-        .withColumn("schema_valid", F.size("schema_errors") == 0)
-        .drop("_doc")
-    )
+    helpers = [c for c in prepared.columns if c not in df.columns]
+    return compute_once(prepared, {"schema_errors": found}).withColumn("schema_valid", F.size("schema_errors") == 0).drop(*helpers)

@@ -220,7 +220,7 @@ def parse_failures(parsed: DataFrame) -> DataFrame:
 def parse_variant(df: DataFrame) -> DataFrame:
     """Add ``doc``: the JSON object as VARIANT; NULL if the text is not a JSON object."""
     doc = F.try_parse_json("value")
-    return df.withColumn("doc", F.when(F.schema_of_variant(doc).startswith("OBJECT"), doc))
+    return df.withColumn("doc", F.when(values.is_json_object(F.col("value"), doc), doc))
 
 
 def wire_header(df: DataFrame, source: str = "value") -> DataFrame:

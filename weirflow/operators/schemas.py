@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weirflow.functions.once import compute_once
+from weirflow.functions.values import is_json_object
+
 # Type names of the field table, and which old types a new type can read.
 PROMOTIONS = {"BIGINT": ("BIGINT",), "DOUBLE": ("DOUBLE", "BIGINT"), "STRING": ("STRING", "BINARY"), "BINARY": ("BINARY", "STRING")}
 
@@ -16,8 +19,8 @@ def field_table(df: DataFrame, value: str = "value", keys: tuple[str, ...] = ("t
     Counts per field and type combine on the map side; the result has one row per field.  Whole and
     fractional numbers merge to DOUBLE, any other conflict to STRING.
     """
-    docs = df.withColumn("_doc", F.try_parse_json(value))
-    objects = docs.filter(F.schema_of_variant("_doc").startswith("OBJECT")).select(*keys, "_doc")
+    docs = compute_once(df, {"_doc": F.try_parse_json(value)})
+    objects = docs.filter(is_json_object(F.col(value), F.col("_doc"))).select(*keys, "_doc")
     fields = objects.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("_doc").outer())).select(
         *keys, F.col("key").alias("field"), F.schema_of_variant("value").alias("_kind")
     )

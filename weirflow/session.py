@@ -37,6 +37,8 @@ def local_session(app: str = "weirflow", cores: str = "*", shuffle_partitions: i
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Call-site capture costs a round trip per Column; rule chains have hundreds of them.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config(
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
