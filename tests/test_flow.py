@@ -243,6 +243,23 @@ def test_compaction_and_vacuum(spark, tmp_path):
     assert not os.path.exists(upkeep.version_path(table, 1)) and upkeep.read_current(spark, table).count() == 4000
 
 
+def test_maintenance_run(spark, tmp_path):
+    table, log = str(tmp_path / "t"), str(tmp_path / "commits")
+    place = ORDER_EVENTS.destination
+    data = spark.sql("select id, '2024' year, '01' month, '02' day, 'paid' order_status from range(10)")
+    sinks.append_table(data, upkeep.version_path(table, 1), place.partition_columns)
+    upkeep.publish(spark, table, 1)
+    for i in range(5):
+        if i:  # never vacuumed: due at once, and then not again
+            assert upkeep.maintain(spark, table, place, log, NOW) == (["VACUUM"] if i == 1 else [])
+        upkeep.record_commit(spark, log, table, "WRITE", NOW + dt.timedelta(minutes=i))
+    assert upkeep.maintain(spark, table, place, log, NOW + dt.timedelta(hours=1)) == ["OPTIMIZE"]
+    assert upkeep.current_version(spark, table) == 2 and upkeep.read_current(spark, table).count() == 10
+    assert upkeep.maintain(spark, table, place, log, NOW + dt.timedelta(hours=2)) == []
+    upkeep.record_commit(spark, log, "/no/such", "WRITE", NOW)
+    assert upkeep.maintain(spark, "/no/such", place, log, NOW) == ["VACUUM"]
+
+
 def test_plan_groups_bound_a_hot_partition(spark):
     files = spark.range(1000).selectExpr("'t' table_path", "if(id % 3 = 0, 'cold-' || (id % 30), 'hot') partition", "'f' || id path", "10L size")
     plan = maintenance.compaction_plan(files, target_bytes=100, files_per_group=50)

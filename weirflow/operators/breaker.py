@@ -9,13 +9,21 @@ parallel from there.
 
 from __future__ import annotations
 
+import sys
+from typing import Any
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirflow.functions import breaker as b
 from weirflow.functions.ordered import CHUNK, range_chunks, running_sum
 
+# The helpers travel with the tasks, so executors need no copy of this package.
+for _module in (b, sys.modules[__name__]):
+    cloudpickle.register_pickle_by_value(_module)
+
 ORDER = ["service", "at_ms", "call_id"]
 
 _SUMMARY = (
@@ -32,7 +40,7 @@ def _sorted_calls(pdf: pd.DataFrame):
 
 
 def _summariser(s: b.BreakerSettings):
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
         _, at, failed, trips = _sorted_calls(pdf)
         ends, waking = b.summarise(at, failed, trips, s)
         row = (
@@ -45,7 +53,7 @@ def _summariser(s: b.BreakerSettings):
 
 
 def _folder(s: b.BreakerSettings):
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
         state, rows = b.START, []
         for r in pdf.sort_values(CHUNK).itertuples(index=False):
             rows.append((key[0], getattr(r, CHUNK), *state))
@@ -58,7 +66,7 @@ def _folder(s: b.BreakerSettings):
 
 
 def _replayer(s: b.BreakerSettings):
-    def run(key, calls: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple[Any, ...], calls: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
         pdf, at, failed, trips = _sorted_calls(calls)
         state = (int(start["kind"].iloc[0]), int(start["amount"].iloc[0]))
         allowed, names = [], []
@@ -108,3 +116,8 @@ def trips_topic_breaker(error_class: str = "error_class", error_message: str = "
     message = F.lower(F.coalesce(error_message, F.lit("")))
     kind = F.lower(F.coalesce(error_class, F.lit("")))
     return message.rlike("schema|unauthorized|authentication") | kind.rlike("security|validation") | (kind == "nonretriableexception")
+
+
+def blocked(replayed: DataFrame) -> DataFrame:
+    """Calls that met an open breaker; route them to the dead-letter table instead of dropping them."""
+    return replayed.filter(~F.col("allowed"))

@@ -82,6 +82,19 @@ def failure_rate_windows(events: DataFrame, failed: Column, time: str = "timesta
     )
 
 
+def flush_latency_alerts(timings: DataFrame, time: str = "timestamp", width: str = "5 minutes") -> DataFrame:
+    """95th percentile of ``duration_ms`` per window and table, with the alert flag.
+
+    The percentile keeps a bounded summary per window (rank error 1/10000), so it also runs on streams.
+    """
+    p95 = F.percentile_approx("duration_ms", 0.95, 10_000)
+    return (
+        timings.groupBy(F.window(time, width).alias("_w"), "table_name")
+        .agg(F.count("*").alias("flushes"), p95.alias("p95_ms"))
+        .select(F.col("_w.start").alias("window_start"), "table_name", "flushes", "p95_ms", (F.col("p95_ms") > ALERT_FLUSH_SECONDS * 1000).alias("alert"))
+    )
+
+
 def partition_activity(log: DataFrame, as_of: dt.datetime, hours: int = 1) -> DataFrame:
     """Messages, last activity and instances per topic and business date since ``hours`` ago."""
     since = as_of_timestamp(as_of - dt.timedelta(hours=hours))

@@ -163,6 +163,20 @@ def failure_rate_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "flush_latency_alerts",
+    """
+    WITH t AS (SELECT ts, event_type AS table_name, CAST(floor(value * 150) AS BIGINT) AS duration_ms FROM events),
+    p AS (SELECT epoch_us(time_bucket(INTERVAL 1 DAY, ts)) // 1000 AS window_start_ms, table_name, count(*) AS flushes, quantile_disc(duration_ms, 0.95) AS p95_ms FROM t GROUP BY ALL)
+    SELECT *, p95_ms > 30000 AS alert FROM p""",
+)
+def flush_latency_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    timings = events.select(F.col("ts").cast("timestamp").alias("timestamp"), F.col("event_type").alias("table_name"), F.floor(F.col("value") * 150).alias("duration_ms"))
+    alerts = metrics.flush_latency_alerts(timings, width="1 day")
+    return alerts.select(F.unix_millis("window_start").alias("window_start_ms"), "table_name", "flushes", "p95_ms", "alert")
+
+
 def activity_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The processing log: topic, business date, time and instance of every event."""
     return spark.read.parquet(f"{sf_dir}/events.parquet").select(

@@ -8,13 +8,17 @@ This is a pointer switch, not a transaction log: one maintenance job per table a
 from __future__ import annotations
 
 import datetime as dt
+import logging
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.operators.maintenance import TARGET_BYTES, compaction_plan, vacuum_candidates
+from weirflow.config import Destination
+from weirflow.operators.maintenance import OPTIMIZE, TARGET_BYTES, VACUUM, compaction_plan, maintenance_stats, vacuum_candidates
 from weirflow.operators.sinks import BATCH, file_inventory, read_table
 
+log = logging.getLogger(__name__)
+
 POINTER = "_current"
 
 
@@ -89,7 +93,7 @@ def compact(spark: SparkSession, table: str, partition_columns: tuple[str, ...],
 def vacuum(spark: SparkSession, table: str, as_of: dt.datetime, retention_hours: int = 168, dry_run: bool = True) -> DataFrame:
     """Files of unpublished versions older than the retention time; removed unless ``dry_run``.
 
-    Removal runs on the executors, one delete per path.
+    A version is removed as a whole, once all of its files are candidates.
     """
     version = current_version(spark, table)
     files = file_inventory(spark, table).filter(~F.col("path").endswith(POINTER))
@@ -110,3 +114,38 @@ def _versions(spark: SparkSession, table: str) -> list[int]:
     fs, root = _fs(spark, table)
     names = [status.getPath().getName() for status in fs.listStatus(root)]
     return sorted(int(n[2:]) for n in names if n.startswith("v="))
+
+
+def record_commit(spark: SparkSession, commit_log: str, table: str, operation: str, at: dt.datetime) -> None:
+    """Append a row to the commit log that the due checks read."""
+    row = spark.createDataFrame([(table, at, operation)], "table_path string, committed_at timestamp, operation string")
+    row.coalesce(1).write.mode("append").parquet(commit_log)
+
+
+def maintain(spark: SparkSession, table: str, destination: Destination, commit_log: str, as_of: dt.datetime) -> list[str]:
+    """Compact and vacuum a table if due.  A failure is logged and does not stop the caller.
+
+    The run is recorded even when it fails, so that a broken table is not tried after every batch.
+    Returns the operations that were tried.
+    """
+    options = destination.options
+    mine = spark.read.parquet(commit_log).filter(F.col("table_path") == table)
+    stats = maintenance_stats(mine).first()
+    tried = []
+    if stats is None:
+        return tried
+    if options.enable_optimize and stats["batches_since_optimize"] >= options.optimize_interval:
+        tried.append(OPTIMIZE)
+    last = stats["last_vacuum"]
+    if options.enable_vacuum and (last is None or as_of - last >= dt.timedelta(hours=options.vacuum_retention_hours)):
+        tried.append(VACUUM)
+    for operation in tried:
+        try:
+            if operation == OPTIMIZE:
+                compact(spark, table, destination.partition_columns)
+            else:
+                vacuum(spark, table, as_of, options.vacuum_retention_hours, dry_run=False)
+        except Exception:  # noqa: BLE001
+            log.warning("%s of %s failed", operation, table, exc_info=True)
+        record_commit(spark, commit_log, table, operation, as_of)
+    return tried

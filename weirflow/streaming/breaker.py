@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from weirflow.functions import breaker as b
 
+for _module in (b, sys.modules[__name__]):
+    cloudpickle.register_pickle_by_value(_module)
+
 OUTPUT = "service string, call_id bigint, at_ms bigint, failed boolean, allowed boolean, state string"
 
 
