@@ -33,6 +33,14 @@ def dead_letters(messages: DataFrame, topic: TopicConfig, as_of: dt.datetime) ->
     return dlq_envelope(rejected(checked_messages(messages, topic, as_of)), as_of)
 
 
+def _kept_parts(checked: DataFrame) -> DataFrame:
+    """What the two writes need: the record of accepted messages, the raw value of rejected ones."""
+    refused = F.col("reject_rule").isNotNull()
+    return checked.drop("headers", "format", "parse_error").withColumns(
+        {"value": F.when(refused, F.col("value")), "rec": F.when(~refused, F.col("rec"))}
+    )
+
+
 def latest_message_time(messages: DataFrame) -> dt.datetime:
     """The newest message time of a batch: a "now" that a replay of the batch finds again."""
     newest = messages.agg(F.unix_millis(F.max("timestamp")).alias("ms")).first()["ms"] or 0
@@ -56,7 +64,7 @@ def write_messages(
     kept, letters = [], [dlq_envelope(unrouted(route(source, topics)), now)]
     try:
         for topic in topics:
-            checked = checked_messages(source.filter(F.col("topic") == topic.topic), topic, now)
+            checked = _kept_parts(checked_messages(source.filter(F.col("topic") == topic.topic), topic, now))
             checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
             kept.append(checked)
             place = topic.destination
