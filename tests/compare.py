@@ -1,4 +1,4 @@
-"""Compare registered queries with their SQL: column names, row counts, values as multisets."""
+"""Compare registered queries with their SQL: column names and types, row counts, exact values as multisets."""
 
 from __future__ import annotations
 
@@ -26,7 +26,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _plain(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else float(f"{v:.10g}")
+        return "nan" if math.isnan(v) else v
     if hasattr(v, "isoformat"):
         return v.isoformat(sep=" ") if hasattr(v, "hour") else v.isoformat()
     return v
