@@ -15,6 +15,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from weirflow.plans.queries import ORACLES, QUERIES  # noqa: E402
 
+NO_ROWS = "no rows"
+
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
@@ -53,7 +55,7 @@ def compare(spark, con, name: str, sf_dir: str) -> str | None:
     for c in types_l:
         if (types_l[c] in ("int", "bigint", "double", "boolean", "string")) and not _same_type(types_l[c], types_r.get(c, "")):
             return f"type of {c}: {types_l[c]} against {types_r.get(c)}"
-    return None if mine else "no rows"
+    return None if mine else NO_ROWS
 
 
 def _same_type(a: str, b: str) -> bool:

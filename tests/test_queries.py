@@ -3,9 +3,13 @@
 import os
 
 import pytest
-from compare import compare, duck
+from compare import NO_ROWS, compare, duck
 from weirflow.plans.queries import ORACLES, QUERIES
 
+# Reports above a fixed threshold; the smallest tables may hold nothing to report.  Both sides must
+# still agree, and at sf0.01 they do have rows.
+MAY_BE_EMPTY = {"hot_partitions", "failure_streaks"}
+
 SF = os.environ.get("SF_DIR", "/root/testdata/sf0.001")
 
 
@@ -18,6 +22,7 @@ def con():
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     if name in ORACLES:
-        assert compare(spark, con, name, SF) is None
+        difference = compare(spark, con, name, SF)
+        assert difference is None or (difference == NO_ROWS and name in MAY_BE_EMPTY)
     else:
         assert QUERIES[name](spark, SF).count() > 0
