@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import add_bitmap_test, key_bitmap, texts, without
+from weirflow.llm.common import add_bitmap_test, key_bitmap, texts, without, write_table
 
 PREFIX_CHARS = 64
 LENGTH_BITS = 1 << 20
@@ -50,13 +50,14 @@ def exact_groups(
     """
     source = docs.select(*without(docs, [*OUTPUT, *KEY]))
     keyed = _keyed(source, text, prefix_chars, length_bits, prefix_bits)
-    groups = (
+    found = (
         keyed.filter(F.col("_full").isNotNull())
         .groupBy(*KEY)
         .agg(F.max(id_column).alias("_keep"), F.count("*").alias("_n"))
         .filter("_n > 1")
         .select(*KEY, "_keep", "_n")
     )
+    groups = write_table(found, "dedup-groups")  # so that the join has its own shuffle, which Spark can split at a hot group
     alone = F.col("_n").isNull()
     keep = F.when(alone, F.col(id_column)).otherwise(F.col("_keep"))
     return (

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import exact_dedup, langid, simhash
+from weirflow.llm import bpe, exact_dedup, langid, sharding, simhash, token_counts, toxicity
 from weirflow.llm.common import remainder, table, texts
 from weirflow.session import configure
 
@@ -52,3 +52,23 @@ def language_id_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_simhash")
 def simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op4_sharding")
+def sharding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_report(table(spark, sf_dir, "documents"))
+
+
+@query("op5_bpe")
+def bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.token_digests(table(spark, sf_dir, "documents"))
+
+
+@query("op6_toxicity")
+def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op9_token_counts")
+def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_report(table(spark, sf_dir, "documents"))

@@ -20,6 +20,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from weirflow.llm.common import texts, travels, without, write_table
 from weirflow.llm.components import components
@@ -52,7 +53,7 @@ def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
     return int.from_bytes(np.packbits(votes * 2 > len(starts)).tobytes(), "big")
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(LongType())
 def _fingerprints(column: pd.Series) -> pd.Series:
     return pd.Series(np.array([fingerprint(t) for t in column], dtype=np.uint64).astype(np.int64))
 
