@@ -27,7 +27,16 @@ from weirflow.llm.common import texts, travels, without, worker_store
 FILE = "byte_bpe_50k.json"
 # How vocabularies of this kind cut texts into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-KNOWN_WORDS = 300_000  # encodings kept by a worker; beyond that it starts anew
+# Code points that became letters or numbers after Unicode 16, the version by which the
+# tokenizer library tells them; for it they are other signs.
+LATER = (
+    "558 58B-58C 88F C5C CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF 10940-10959 10EC5-10EC7 "
+    "10ED9-10EEE 11B0A 11DB0-11DDB 11DE0-11DE9 11DF1 1246F 12475-1247F 12550-12686 16EA0-16EB8 16EBB-16ED3 16FF2-16FF6 187F8-187FF "
+    "18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191 191A0-191D2 1B123-1B128 1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 "
+    "1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 "
+    "3D000-3FC3F"
+)
+KNOWN_WORDS = 150_000  # words of the younger half of what a worker keeps
 LONG_WORD = 200  # longer words are not kept
 _GROUP = 1 << 20  # characters whose words are looked up together
 _PIECES = 1 << 17  # words of a long text that are held at a time
@@ -53,6 +62,54 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+class Pattern:
+    """A pattern of words by the Unicode version of the tokenizer library."""
+
+    def __init__(self, pattern: str):
+        spans = "".join("-".join(rf"\U{int(c, 16):08x}" for c in span.split("-")) for span in LATER.split())
+        later = pattern.replace(r"[^\s\p{L}\p{N}]", rf"(?:[^\s\p{{L}}\p{{N}}]|[{spans}])")
+        for kind in "LN":
+            later = later.replace(rf"\p{{{kind}}}+", rf"(?:(?![{spans}])\p{{{kind}}})+")
+        self.later, self.plain, self.exact = regex.compile(f"[{spans}]"), regex.compile(pattern), regex.compile(later)
+
+    def on(self, text: str) -> regex.Pattern:
+        return self.plain if text.isascii() or not self.later.search(text) else self.exact
+
+    def findall(self, text: str) -> list[str]:
+        return self.on(text).findall(text)
+
+    def lists(self, text: str) -> Iterator[list[str]]:
+        """The words of a text, in lists of bounded length."""
+        if len(text) <= 4 * _GROUP:
+            yield self.findall(text)
+            return
+        found = (m.group() for m in self.on(text).finditer(text))
+        while part := list(islice(found, _PIECES)):
+            yield part
+
+
+class Recent:
+    """A table of words met lately, of bounded size: words that are still met move on to the younger
+    half when the older one is given up."""
+
+    def __init__(self, bound: int):
+        self.bound, self.young, self.old = bound, {}, {}
+
+    def unknown(self, words: set[str]) -> set[str]:
+        """Those of ``words`` that must be computed; the others are in ``young`` afterwards."""
+        if len(self.young) > self.bound:
+            self.old, self.young = self.young, {}
+        new = words.difference(self.young)  # a dict, not its keys: only ``words`` are gone through
+        again = {w for w in new if w in self.old}
+        self.young.update((w, self.old[w]) for w in again)
+        return new - again
+
+    def forget_long(self) -> None:
+        for half in (self.young, self.old):
+            for word in [w for w in half if len(w) > LONG_WORD]:
+                del half[word]
+
+
 class Vocabulary:
     """Tokens, merges and special tokens of a byte-level BPE file."""
 
@@ -75,7 +132,7 @@ class Vocabulary:
         raw = {token: i for token, i in model["vocab"].items()}
         self.merge = {(raw[a], raw[b]): (rank, raw[a + b]) for rank, (a, b) in enumerate(pairs)}
         self.cut = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
-        self.words = regex.compile(WORDS)
+        self.words = Pattern(WORDS)
         self._follows: dict[tuple[int, int], bool] = {}
 
     def merged(self, data: bytes) -> list[int]:
@@ -149,38 +206,20 @@ class Vocabulary:
             elif part:
                 yield part, None
 
-    def pieces(self, text: str) -> Iterator[list[str]]:
-        """The words of a text, in lists of bounded length."""
-        if len(text) <= 4 * _GROUP:
-            yield self.words.findall(text)
-            return
-        found = (m.group() for m in self.words.finditer(text))
-        while part := list(islice(found, _PIECES)):
-            yield part
-
 
 class Encoder:
     """Encodings of words met so far, up to a bound."""
 
     def __init__(self, vocabulary: Vocabulary, bound: int = KNOWN_WORDS):
-        self.vocabulary, self.bound, self.known = vocabulary, bound, {}
+        self.vocabulary, self.recent = vocabulary, Recent(bound)
 
     def lookup(self, words: set[str]) -> dict[str, tuple[int, ...]]:
-        """A table that holds all of ``words``."""
-        new = words - self.known.keys()
-        if not new:
-            return self.known
-        if len(self.known) + len(new) > self.bound:
-            self.known.clear()
-            new = words
-        by_bytes = {w.encode("utf-8", "surrogatepass"): w for w in new}
+        """A table that holds all of ``words``, until the next lookup."""
+        by_bytes = {w.encode("utf-8", "surrogatepass"): w for w in self.recent.unknown(words)}
+        table = self.recent.young
         for data, last in self.vocabulary.walk(by_bytes):
-            self.known[by_bytes[data]] = self.vocabulary.read_back(last)
-        return self.known
-
-    def forget_long(self) -> None:
-        for word in [w for w in self.known if len(w) > LONG_WORD]:
-            del self.known[word]
+            table[by_bytes[data]] = self.vocabulary.read_back(last)
+        return table
 
     def encode(self, several: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
@@ -203,14 +242,14 @@ class Encoder:
                 continue
             parts = []
             for part, special in self.vocabulary.segments(text):
-                parts.append((None, special) if special is not None else (next(self.vocabulary.pieces(part)), None))
+                parts.append((None, special) if special is not None else (self.vocabulary.words.findall(part), None))
             group.append(parts)
             size += len(text)
             if size > _GROUP:
                 close()
                 size = 0
         close()
-        self.forget_long()
+        self.recent.forget_long()
         return out
 
     def _long(self, text: str) -> np.ndarray:
@@ -219,7 +258,7 @@ class Encoder:
             if special is not None:
                 parts.append(np.array([special], dtype=np.int32))
                 continue
-            for words in self.vocabulary.pieces(part):
+            for words in self.vocabulary.words.lists(part):
                 table = self.lookup(set(words))
                 parts.append(np.fromiter(chain.from_iterable(map(table.__getitem__, words)), dtype=np.int32))
         return np.concatenate(parts) if parts else np.zeros(0, np.int32)

@@ -12,6 +12,8 @@ sum gives the count at every prefix, so truncation and budget questions need no
 
 from __future__ import annotations
 
+import re
+from array import array
 from itertools import islice
 
 import numpy as np
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from weirflow.llm.bpe import KNOWN_WORDS, LONG_WORD, Vocabulary, vocabulary_text, worker_vocabulary
+from weirflow.llm.bpe import KNOWN_WORDS, Pattern, Recent, Vocabulary, vocabulary_text, worker_vocabulary
 from weirflow.llm.common import texts, travels, without, worker_store
 
 TOKEN_LIMIT = 1024
@@ -29,7 +31,7 @@ TOKEN_LIMIT = 1024
 UNITS = r"(?:\s*[^\S ])?'(?:s|t|re|ve|m|ll|d)|\s*(?:\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+)|\s+"
 LATE = {"'re", "'ve", "'ll"}  # one letter short of these, the apostrophe is a word of its own
 _GROUP = 1 << 20  # characters whose units are looked up together
-_PIECES = 1 << 17
+_WHITE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]*")  # as in the pattern
 
 travels(__name__)
 
@@ -38,57 +40,61 @@ class PrefixCounter:
     """Per unit: the change of the token count with each character, kept up to a bound."""
 
     def __init__(self, vocabulary: Vocabulary, bound: int = KNOWN_WORDS):
-        self.vocabulary, self.bound, self.known = vocabulary, bound, {}
-        self.units = regex.compile(UNITS)
+        self.vocabulary, self.recent = vocabulary, Recent(bound)
+        self.units = Pattern(UNITS)
 
     def _counts(self, words: set[str]) -> dict[str, list[int]]:
-        """Token counts at each byte of each word."""
+        """Token counts at each character of each word (the last entry is the word's)."""
         by_bytes, size_of, out = {w.encode("utf-8", "surrogatepass"): w for w in words}, self.vocabulary.size_of, {}
         counts = [0]
         path = b""
         for data, last in self.vocabulary.walk(by_bytes):
-            shared = 0
-            while shared < min(len(path), len(data)) and path[shared] == data[shared]:
+            shared, most = 0, min(len(path), len(data))
+            while shared < most and path[shared] == data[shared]:
                 shared += 1
             del counts[shared + 1 :]
             for end in range(shared + 1, len(data) + 1):
                 counts.append(counts[end - size_of[last[end]]] + 1)
-            path = data
-            out[by_bytes[data]] = counts[:]
+            path, word = data, by_bytes[data]
+            if len(word) == len(data):
+                out[word] = counts[1:]
+            else:  # a character ends where no byte goes on with it
+                out[word] = [counts[k] for k in range(1, len(data) + 1) if k == len(data) or data[k] & 0xC0 != 0x80]
         return out
 
     def lookup(self, units: set[str]) -> dict[str, bytes]:
-        new = units - self.known.keys()
+        """A table that holds the changes of all of ``units``, until the next lookup."""
+        new = self.recent.unknown(units)
+        table = self.recent.young
         if not new:
-            return self.known
-        if len(self.known) + len(new) > self.bound:
-            self.known.clear()
-            new = units
-        cut = {u: self.vocabulary.words.findall(u) for u in new}
-        runs = {u: u[: len(u) - len(u.lstrip())] if not u.isspace() else u for u in new}
-        words = {w for parts in cut.values() for w in parts} | {r for r in runs.values() if r} | {"'", "r", "v", "l"}
+            return table
+        # Mostly a unit is one word, with one space before it or none.
+        runs = {u: _WHITE.match(u).group() for u in new}
+        cut = {u: self.vocabulary.words.findall(u) for u, run in runs.items() if run not in ("", " ") or u in LATE}
+        words = {u for u in new if u not in cut} | {w for parts in cut.values() for w in parts} | {runs[u] for u in cut if runs[u]} | {"'", "r", "v", "l"}
         counts = self._counts(words)
         for unit in new:
-            self.known[unit] = self._changes(cut[unit], runs[unit], counts)
-        return self.known
+            so_far = counts[unit] if unit not in cut else self._pieced(unit, cut[unit], runs[unit], counts)
+            before = 0
+            changes = array("h")
+            for n in so_far:
+                changes.append(n - before)
+                before = n
+            table[unit] = changes.tobytes()
+        return table
 
     @staticmethod
-    def _changes(parts: list[str], run: str, counts: dict[str, list[int]]) -> bytes:
-        """Differences of the counts after each character of a unit."""
-
-        def at_characters(word: str) -> list[int]:
-            ends = np.cumsum([len(c.encode("utf-8", "surrogatepass")) for c in word])
-            return [counts[word][e] for e in ends]
-
-        inside = at_characters(run)
-        if "".join(parts) != run:
-            word = parts[-1]
-            before = sum(counts[p][-1] for p in parts[:-1])
-            own = at_characters(word)
-            if word in LATE:
-                own[1] = counts["'"][-1] + counts[word[1]][-1]
-            inside += [before + n for n in own[len(word) - len(word.lstrip()) :]]
-        return np.diff(np.array(inside, dtype=np.int64), prepend=0).astype("<i2").tobytes()
+    def _pieced(unit: str, parts: list[str], run: str, counts: dict[str, list[int]]) -> list[int]:
+        """Counts at each character of a unit that is several words, or a late contraction."""
+        inside = counts[run][:] if run else []
+        if run == unit:
+            return inside
+        word = parts[-1]
+        before = sum(counts[p][-1] for p in parts[:-1])
+        own = counts[word][:]
+        if word in LATE:
+            own[1] = counts["'"][-1] + counts[word[1]][-1]
+        return inside + [before + n for n in own[len(_WHITE.match(word).group()) :]]
 
     def changes(self, text: str) -> bytes:
         """Two bytes per character of ``text``; their running sum is the number of tokens so far."""
@@ -101,13 +107,7 @@ class PrefixCounter:
         return b"".join(out)
 
     def _ordinary(self, text: str) -> list[bytes]:
-        if len(text) <= 4 * _GROUP:
-            units = self.units.findall(text)
-            return list(map(self.lookup(set(units)).__getitem__, units))
-        out, found = [], (m.group() for m in self.units.finditer(text))
-        while part := list(islice(found, _PIECES)):
-            out.append(b"".join(map(self.lookup(set(part)).__getitem__, part)))
-        return out
+        return [b"".join(map(self.lookup(set(units)).__getitem__, units)) for units in self.units.lists(text)]
 
     def _special(self, text: str, token: str, start: int, before: list[bytes]) -> bytes:
         """Cut short, a special token is ordinary text that goes on after what stands before it: back
@@ -146,8 +146,7 @@ class PrefixCounter:
                     ahead += 1
                 self.lookup(group)
             out.append(self.changes(text))
-        for unit in [u for u in self.known if len(u) > LONG_WORD]:
-            del self.known[unit]
+        self.recent.forget_long()
         return out
 
 
