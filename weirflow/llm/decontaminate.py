@@ -5,8 +5,11 @@ document is a query.  Passages are windows of twice ``UNIT`` words, every ``UNIT
 unit that stands in a document lies whole in one of them.  Impacts are BM25 scores divided by the
 unit's own score, so a passage that holds a unit scores 1 whatever its length, and all units above
 ``THRESHOLD`` are retrieved: cursors over postings, a pivot from the terms' upper bounds, and the
-maxima of blocks of units to skip what cannot reach the threshold.  What is retrieved is verified:
-five-word shingles of the item's question and of its answer must be there, each to ``OVERLAP``.
+maxima of blocks of units to skip what cannot reach the threshold.  The block maxima are first summed
+for all passages of a document at once, the frequent terms by what they can give a block at most;
+only passages with a block that may reach the threshold are walked by cursors.  What is retrieved is
+verified: five-word shingles of the item's question and of its answer must be there, each to
+``OVERLAP``.
 
 The index is built from tables: term statistics cover all items, and the items are dealt into shards
 of bounded size, so that what is broadcast at a time does not grow with the benchmark.
@@ -33,7 +36,8 @@ THRESHOLD = 0.6
 SHINGLE = 5
 OVERLAP = 0.8
 K1, B = 1.2, 0.75
-BLOCK = 16  # units of a block
+BLOCK = 4  # units of a block
+FREQUENT = 0.03  # terms in a larger share of the units (and in more than 8) count as frequent
 SHARD_BYTES = 4 << 20  # text of the items of one index
 _SLICE = 1 << 22  # characters of a long text that are cut into words at a time
 _WORD = re.compile(r"\w+")
@@ -80,6 +84,12 @@ class Index:
     impacts: list[list[float]]
     upper: np.ndarray  # by term; the last entry, for unknown words, is 0
     block_upper: list[dict[int, float]]
+    blocks: int
+    frequent_upper: np.ndarray  # by block: the most that its frequent terms can give one unit
+    frequent: np.ndarray  # by term: its upper bound if it is frequent, else 0
+    rare_at: np.ndarray  # by term: where its blocks begin in the next two; frequent terms have none
+    rare_block: np.ndarray
+    rare_upper: np.ndarray
 
     @classmethod
     def build(cls, items: list[tuple], frequency: dict[str, int], units: int, mean_length: float) -> Index:
@@ -117,7 +127,20 @@ class Index:
                 blocks[u // BLOCK] = max(blocks.get(u // BLOCK, 0.0), s)
             block_upper.append(blocks)
         upper = np.array([max(i, default=0.0) for i in impacts] + [0.0])
-        return cls(ids, sizes, parts, unit_item, terms, postings, impacts, upper, block_upper)
+        n_blocks = len(unit_item) // BLOCK + 1
+        often = [len(own) > max(8, FREQUENT * len(unit_item)) for own in postings]
+        by_unit = np.zeros(len(unit_item))
+        for t, own in enumerate(postings):
+            if often[t]:
+                by_unit[own] += impacts[t]
+        frequent_upper = np.array([by_unit[b * BLOCK : (b + 1) * BLOCK].max(initial=0.0) for b in range(n_blocks)])
+        rare = [sorted(b.items()) if not o else [] for b, o in zip(block_upper, often)] + [[]]
+        rare_at = np.concatenate(([0], np.cumsum([len(r) for r in rare])))
+        flat = [x for r in rare for x in r]
+        return cls(
+            ids, sizes, parts, unit_item, terms, postings, impacts, upper, block_upper, n_blocks, frequent_upper, np.where([*often, False], upper, 0.0),
+            rare_at, np.array([b for b, _ in flat], dtype=np.int64), np.array([u for _, u in flat], dtype=np.float64),
+        )
 
     def retrieve(self, query: list[int], threshold: float = THRESHOLD) -> list[tuple[int, float]]:
         """Block-max WAND: all units whose score for the distinct terms of ``query`` reaches the threshold."""
@@ -162,6 +185,30 @@ class Index:
                 if cursor[0] < onward:
                     forward(cursor, onward)
 
+    def promising(self, ids: np.ndarray, passages: int) -> np.ndarray:
+        """Passages with a block whose bound reaches the threshold: the sum of the block maxima of the
+        rare terms, and for the frequent ones the lesser of their own bounds and of the block's."""
+        least, out = THRESHOLD - 1e-9, []
+        common = np.concatenate(([0.0], np.cumsum(self.frequent[ids])))
+        at_once = max(1, (1 << 21) // self.blocks)
+        for first in range(0, passages, at_once):
+            last = min(passages, first + at_once)
+            low, high = first * UNIT, min(len(ids), (last + 1) * UNIT)
+            part = ids[low:high]
+            begin, count = self.rare_at[part], self.rare_at[part + 1] - self.rare_at[part]
+            place = np.repeat(np.arange(low, high), count)
+            entry = np.repeat(begin - np.cumsum(count) + count, count) + np.arange(count.sum())
+            block, value = self.rare_block[entry], self.rare_upper[entry]
+            bound = np.zeros((last - first) * self.blocks)
+            for passage in (place // UNIT - first, place // UNIT - first - 1):
+                own = (passage >= 0) & (passage < last - first)
+                bound += np.bincount(passage[own] * self.blocks + block[own], weights=value[own], minlength=len(bound))
+            starts = np.arange(first, last) * UNIT
+            often = common[np.minimum(starts + 2 * UNIT, len(ids))] - common[starts]
+            bound = bound.reshape(last - first, self.blocks) + np.minimum(often[:, None], self.frequent_upper)
+            out.append(first + np.flatnonzero(bound.max(axis=1) >= least))
+        return np.concatenate(out)
+
     def numbers(self, text: str) -> np.ndarray:
         """Term numbers of the words of a whole text; the number of terms stands for unknown words."""
         unknown, get, found, start = len(self.terms), self.terms.get, [], 0
@@ -181,14 +228,11 @@ class Index:
         if not len(ids) or not self.terms:
             return []
         unknown = len(self.terms)
-        sums = np.concatenate(([0.0], np.cumsum(self.upper[ids])))
-        starts = np.arange(0, max(1, len(ids) - UNIT), UNIT)
-        stops = np.minimum(starts + 2 * UNIT, len(ids))
+        passages = len(range(0, max(1, len(ids) - UNIT), UNIT))
         found: dict[int, tuple] = {}
-        for start, stop in zip(starts[(hot := sums[stops] - sums[starts] >= THRESHOLD)].tolist(), stops[hot].tolist()):
+        for passage in self.promising(ids, passages).tolist():
+            start, stop = passage * UNIT, min(len(ids), (passage + 2) * UNIT)
             query = np.unique(ids[start:stop])
-            if self.upper[query].sum() < THRESHOLD - 1e-9:  # no pivot exists
-                continue
             best: dict[int, float] = {}
             for unit, score in self.retrieve([t for t in query.tolist() if t != unknown]):
                 item = self.unit_item[unit]

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import bpe, exact_dedup, langid, sharding, simhash, token_counts, toxicity
+from weirflow.llm import bpe, decontaminate, exact_dedup, langid, secrets, sharding, simhash, token_counts, toxicity, url_graph
 from weirflow.llm.common import remainder, table, texts
 from weirflow.session import configure
 
@@ -72,3 +72,19 @@ def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_token_counts")
 def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_report(table(spark, sf_dir, "documents"))
+
+
+@query("op2_url_filter")
+def url_filter_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_graph.judge(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op3_decontaminate")
+def decontaminate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_secret_scan")
+def secret_scan_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(table(spark, sf_dir, "documents"))

@@ -12,6 +12,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -28,6 +29,7 @@ WINDOW, STRIDE = 24, 12
 HIDDEN, EMBED, TRIGRAMS, VOCABULARY = 8, 12, 1 << 13, 6000
 PER_CLASS = 2000  # expected rows of each label in the sample
 FIRST_WINDOWS, TOP_WINDOWS, ROUNDS = 6, 2, 4
+LEAST_STEPS = 60  # of the optimiser in a round, for small samples
 KNOWN_WORDS = 200_000  # words whose inputs a worker keeps
 BATCH = 2048
 OUTPUT = ["score", "predicted"]
@@ -374,7 +376,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
         fit = [r for r in found if r["order"] % 4 != 0]
         windows, labels = [r["words"].split() for r in fit], np.array([r["label"] for r in fit], dtype=np.float32)
         balance = np.where(labels == 1, len(labels) / max(1, 2 * labels.sum()), len(labels) / max(1, 2 * (1 - labels).sum())).astype(np.float32)
-        for _ in range(2 if turn == 0 else 3):
+        steps = math.ceil(len(windows) / 128)
+        for _ in range(max(2 if turn == 0 else 3, math.ceil(LEAST_STEPS / max(1, steps)))):
             order = rng.permutation(len(windows))
             for k in range(0, len(order), 128):
                 part = order[k : k + 128]
