@@ -168,14 +168,9 @@ COMMERCE_EVENTS = TopicConfig(
 
 DEFAULT_TOPICS = (USER_EVENTS, ORDER_EVENTS, COMMERCE_EVENTS)
 
-# A configuration is written by people; more entries than this is a mistake, not a table to broadcast.
-MAX_TOPICS = 10_000
-
 
 def topic_table(spark: SparkSession, topics: tuple[TopicConfig, ...] = DEFAULT_TOPICS) -> DataFrame:
     """The configuration as a small DataFrame: routing, batching and maintenance settings."""
-    if len(topics) > MAX_TOPICS:
-        raise ValueError(f"{len(topics)} topics configured, at most {MAX_TOPICS} are allowed")
     rows = [
         (
             t.topic,

@@ -8,21 +8,25 @@ table of chunks, and added to the running total inside each chunk.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weirflow.session import reliable_checkpoint
 
 CHUNK = "chunk"
+ROWS_PER_CHUNK = 250_000
 
 
-def range_chunks(df: DataFrame, order: list[str], chunks: int | None = None) -> DataFrame:
+def range_chunks(df: DataFrame, order: list[str], chunks: int | None = None, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Add ``chunk``: rows of a lower chunk come before those of a higher one in ``order``.
 
-    The placement is written to the shared folder, because the chunk borders come from a sample and
-    must be the same for every later pass.  Select only the needed columns first.
+    Chunks have about ``rows_per_chunk`` rows, so that what is done inside one fits a task at any size
+    of input.  The placement is written to the shared folder, because the chunk borders come from a
+    sample and must be the same for every later pass.  Select only the needed columns first.
     """
-    n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = chunks or max(1, math.ceil(df.count() / rows_per_chunk))
     placed = df.repartitionByRange(n, *order).withColumn(CHUNK, F.spark_partition_id())
     return reliable_checkpoint(placed)
 

@@ -76,8 +76,11 @@ def unit_draw(key: Column, attempt: Column) -> Column:
 
 
 def retry_delay_ms(key: Column, attempt: Column) -> Column:
-    """Doubling back-off from one second with jitter (a quarter of the delay wide), at most 30 s."""
-    plain = F.lit(BASE_BACKOFF_MS).cast("bigint") * F.pow(F.lit(2), attempt - 1).cast("bigint")
+    """Doubling back-off from one second with jitter (a quarter of the delay wide), at most 30 s.
+
+    The exponent stops growing long after the limit is reached, so no number of attempts overflows.
+    """
+    plain = F.lit(BASE_BACKOFF_MS).cast("bigint") * F.pow(F.lit(2), F.least(attempt - 1, F.lit(40))).cast("bigint")
     jitter = (plain * F.lit(JITTER) * (unit_draw(key, attempt) - F.lit(0.5))).cast("bigint")
     return F.least(plain + jitter, F.lit(MAX_BACKOFF_MS).cast("bigint"))
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirflow.functions.once import compute_once
@@ -24,12 +24,15 @@ TYPE_PREFIXES = {
     "array": ("ARRAY",),
     "null": ("VOID",),
 }
+# Integers beyond 64 bits are decimals without a fraction (up to 38 digits; longer ones are doubles).
+LARGE_INTEGER = r"^DECIMAL\((19|[23][0-9]),0\)"
 FORMATS = {
     "date-time": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,12})?(Z|[+-][0-9]{2}:?[0-9]{2})\z",
     "uri": r"^[^\s<>\"{}|\\^`]*\z",
     "ipv4": r"^((25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(\.|\z)){4}(?<!\.)\z",
 }
 
+# The two schemas of events, a contract with their producers.
 USER_EVENT_SCHEMA = {
     "type": "object",
     "properties": {
@@ -93,8 +96,25 @@ class _Node:
         for name in [names] if isinstance(names, str) else names:
             for prefix in TYPE_PREFIXES[name]:
                 hit = hit | self.kind.startswith(prefix)
+            if name == "integer":
+                hit = hit | self.kind.rlike(LARGE_INTEGER)
         return hit
 
+    def equals(self, wanted) -> Column:
+        """Whether the value is the JSON value ``wanted``; numbers are compared as numbers."""
+        if wanted is None:
+            return self.kind == "VOID"
+        if isinstance(wanted, bool):
+            return F.when(self.kind == "BOOLEAN", F.try_variant_get(self.value, "$", "boolean") == wanted)
+        if isinstance(wanted, int):
+            exact = F.try_variant_get(self.value, "$", "decimal(38,0)") == F.lit(str(wanted)).cast("decimal(38,0)")
+            return F.when(self.is_type("integer"), exact).when(self.is_type("number"), self.number() == float(wanted))
+        if isinstance(wanted, float):
+            return self.number() == wanted
+        if isinstance(wanted, str):
+            return self.text() == wanted
+        return F.to_json(self.value) == json.dumps(wanted, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+
     def text(self) -> Column:
         return F.when(self.kind == "STRING", F.try_variant_get(self.value, "$", "string"))
 
@@ -120,7 +140,10 @@ def _conditions(schema: dict, node: _Node, label: str, elements: dict[str, Colum
         found.append((f"{label}:type", ~node.is_type(schema["type"])))
     if "enum" in schema:
         words = [v for v in schema["enum"] if isinstance(v, str)]
-        found.append((f"{label}:enum", ~F.coalesce(node.text().isin(*words), F.lit(False))))
+        hit = F.coalesce(node.text().isin(*words), F.lit(False)) if words else F.lit(False)
+        for other in (v for v in schema["enum"] if not isinstance(v, str)):
+            hit = hit | F.coalesce(node.equals(other), F.lit(False))
+        found.append((f"{label}:enum", ~hit))
     if "pattern" in schema:
         found.append((f"{label}:pattern", ~node.text().rlike(_java_pattern(schema["pattern"]))))
     if "minimum" in schema:
@@ -202,14 +225,15 @@ def _prepare(df: DataFrame, schema: dict) -> tuple[DataFrame, _Node, dict[str, C
 
 
 def load_schema(path: str | None) -> dict | None:
-    """Read a schema file; a missing file means that any object is accepted."""
+    """Read a schema file from any file system that Spark knows; only a file that is really not there
+    means that any object is accepted."""
     if path is None:
         return None
-    try:
-        with open(path, encoding="utf-8") as f:
-            return json.load(f)
-    except FileNotFoundError:
+    spark = SparkSession.active()
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
         return None
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
 
 
 def check_schema(df: DataFrame, schema: dict | None, value: str = "value") -> DataFrame:

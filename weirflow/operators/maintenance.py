@@ -9,15 +9,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weirflow.functions.ordered import ROWS_PER_CHUNK, range_chunks, running_sum
 from weirflow.functions.times import as_of_timestamp
 
 WRITE, OPTIMIZE, VACUUM = "WRITE", "OPTIMIZE", "VACUUM"
 TARGET_BYTES = 128 * 1024 * 1024
-# Merge candidates of one table partition are planned in groups of about this many files.
-FILES_PER_GROUP = 10_000
 
 
 def _last(operation: str) -> Column:
@@ -64,32 +63,24 @@ def vacuum_candidates(files: DataFrame, live: DataFrame, as_of: dt.datetime, ret
     return files.filter(F.col("modified_at") < cutoff).join(live.select("path"), "path", "left_anti")
 
 
-def compaction_plan(files: DataFrame, target_bytes: int = TARGET_BYTES, files_per_group: int = FILES_PER_GROUP) -> DataFrame:
+def compaction_plan(files: DataFrame, target_bytes: int = TARGET_BYTES, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Assign the small files of each table partition to bins of about ``target_bytes``.
 
-    Bins are cut along the running size in path order.  A partition with very many small files is
-    first divided into groups by the digest of the path, so no task plans more than about
-    ``files_per_group`` of them; a bin never spans two groups.
+    Bins are cut along the running size in path order.  The running size is taken over chunks of the
+    file list, so a partition of any number of files gets the same bins and no task holds them all.
     """
-    small = files.filter(F.col("size") < target_bytes)
     place = ["table_path", "partition"]
-    groups = small.groupBy(*place).agg(F.ceil(F.count("*") / F.lit(files_per_group)).cast("bigint").alias("_groups"))
-    digest = F.conv(F.substring(F.md5("path"), 1, 8), 16, 10).cast("bigint")
-    grouped = small.join(groups, place).withColumn("group_no", digest % F.col("_groups"))
-    before = Window.partitionBy(*place, "group_no").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
-    return grouped.select(
-        *place,
-        "path",
-        "size",
-        "group_no",
-        F.floor(F.coalesce(F.sum("size").over(before), F.lit(0)) / F.lit(target_bytes)).cast("bigint").alias("bin_no"),
-    )
+    small = files.filter(F.col("size") < target_bytes).select(*place, "path", "size")
+    order = [*place, "path"]
+    summed = running_sum(range_chunks(small, order, rows_per_chunk=rows_per_chunk), place, order, F.col("size"), "_upto")
+    bin_no = F.floor((F.col("_upto") - F.col("size")) / F.lit(target_bytes)).cast("bigint")
+    return summed.select(*order, "size", bin_no.alias("bin_no"))
 
 
 def bins_to_merge(plan: DataFrame) -> DataFrame:
     """Bins with more than one file: merging the others would gain nothing."""
     return (
-        plan.groupBy("table_path", "partition", "group_no", "bin_no")
+        plan.groupBy("table_path", "partition", "bin_no")
         .agg(F.count("*").alias("files"), F.sum("size").alias("bytes"))
         .filter(F.col("files") > 1)
     )

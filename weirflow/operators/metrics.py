@@ -7,7 +7,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weirflow.functions.ordered import CHUNK, ROWS_PER_CHUNK, range_chunks
 from weirflow.functions.times import as_of_timestamp
+from weirflow.session import reliable_checkpoint
 
 # Health limits, slow-operation limits in ms, reported quantiles.
 DOWN_RATE, DEGRADED_RATE = 0.1, 0.05
@@ -83,10 +85,17 @@ def failure_rate_windows(events: DataFrame, failed: Column, time: str = "timesta
 
 
 def flush_latency_alerts(timings: DataFrame, time: str = "timestamp", width: str = "5 minutes") -> DataFrame:
-    """95th percentile of ``duration_ms`` per window and table, with the alert flag.
+    """Exact 95th percentile of ``duration_ms`` per window and table, with the alert flag."""
+    placed = timings.select(F.window(time, width)["start"].alias("window_start"), "table_name", "duration_ms")
+    keys = ["window_start", "table_name"]
+    flushes = placed.groupBy(*keys).agg(F.count("*").alias("flushes"))
+    p95 = exact_quantiles(placed, keys, "duration_ms", (0.95,)).select(*keys, F.col("value").alias("p95_ms"))
+    return flushes.join(p95, keys, "left").select(*keys, "flushes", "p95_ms", (F.col("p95_ms") > ALERT_FLUSH_SECONDS * 1000).alias("alert"))
 
-    The percentile keeps a bounded summary per window (rank error 1/10000), so it also runs on streams.
-    """
+
+def flush_latency_sketch(timings: DataFrame, time: str = "timestamp", width: str = "5 minutes") -> DataFrame:
+    """The same on a stream, where a window cannot be read twice: the percentile comes from a summary
+    of bounded size, with a rank error of 1/10000 of the window's rows."""
     p95 = F.percentile_approx("duration_ms", 0.95, 10_000)
     return (
         timings.groupBy(F.window(time, width).alias("_w"), "table_name")
@@ -131,16 +140,16 @@ def retained(log: DataFrame, as_of: dt.datetime, days: int = 7) -> DataFrame:
     return log.filter(F.col("processed_at") >= as_of_timestamp(as_of - dt.timedelta(days=days)))
 
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: str, quantiles: tuple[float, ...] = QUANTILES, bin_width: float = 1.0) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, quantiles: tuple[float, ...] = QUANTILES, rows_per_bin: int = ROWS_PER_CHUNK) -> DataFrame:
     """Exact quantiles (smallest value that at least the share q does not exceed) per key.
 
-    Two counting passes instead of a sort of each group: values are counted in bins, the bin that
-    holds each wanted rank is found on the small table of bins, and only the distinct values of those
-    bins are counted one by one.  Equal values are one row after the map side, so neither a frequent
-    key nor a frequent value grows a task.
+    Equal values are one row after the map side.  The distinct values are range-partitioned by key and
+    value into bins of about ``rows_per_bin``, wherever the values of a key lie close together; the
+    bin that holds each wanted rank is found on the small table of bins, and only those bins are
+    ranked, so neither a frequent key nor a narrow range of values grows a task.
     """
-    binned = df.select(*keys, F.col(value).alias("_x"), F.floor(F.col(value) / bin_width).alias("_bin")).filter("_x is not null")
-    distinct = binned.groupBy(*keys, "_bin", "_x").agg(F.count("*").alias("_n"))
+    values = df.select(*keys, F.col(value).alias("_x")).filter("_x is not null").groupBy(*keys, "_x").agg(F.count("*").alias("_n"))
+    distinct = range_chunks(reliable_checkpoint(values), [*keys, "_x"], rows_per_chunk=rows_per_bin).withColumnRenamed(CHUNK, "_bin")
     bins = distinct.groupBy(*keys, "_bin").agg(F.sum("_n").alias("_n"))
     upto = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*keys)
@@ -153,7 +162,8 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, quantiles: tuple
         .select(*keys, "_bin", "quantile", "_rank", "_start", "_all")
     )
     inside = Window.partitionBy(*keys, "_bin").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    counted = distinct.withColumn("_seen", F.sum("_n").over(inside))
+    spots = located.select(*keys, "_bin").distinct()
+    counted = distinct.join(spots, [*keys, "_bin"]).withColumn("_seen", F.sum("_n").over(inside))
     return (
         counted.join(located, [*keys, "_bin"])
         .filter(F.col("_start") + F.col("_seen") >= F.col("_rank"))

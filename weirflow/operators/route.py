@@ -11,10 +11,10 @@ from weirflow.config import DEFAULT_TOPICS, TopicConfig, topic_table
 def route(df: DataFrame, topics: tuple[TopicConfig, ...] = DEFAULT_TOPICS) -> DataFrame:
     """Add the settings of the topic; unknown topics keep NULLs and get ``route_error``.
 
-    The configuration is bounded (``MAX_TOPICS``), hence the broadcast.
+    Any number of topics; Spark chooses the join by the size of their table.
     """
     settings = topic_table(df.sparkSession, topics)
-    return df.join(F.broadcast(settings), "topic", "left").withColumn(
+    return df.join(settings, "topic", "left").withColumn(
         "route_error",
         F.when(F.col("config_name").isNull(), F.concat(F.lit("No configuration found for topic: "), F.coalesce("topic", F.lit("null")))),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,9 +55,14 @@ def inferred_ddl(df: DataFrame, value: str = "value") -> DataFrame:
     return df.agg(F.schema_of_variant_agg(F.try_parse_json(value)).alias("variant_type"))
 
 
+# A type word stands at the start, after a field's colon or as the element of an array; quoted names are passed over.
+_TYPE_WORD = re.compile(r"`(?:[^`]|``)*`|(^|: |ARRAY<)(OBJECT|VARIANT|VOID)(?=[<>,]|$)")
+
+
 def to_struct_type(variant_type: str) -> T.StructType:
     """The type text of :func:`inferred_ddl` as a schema; conflicts and pure NULLs become strings."""
-    text = variant_type.replace("OBJECT<", "STRUCT<").replace("VARIANT", "STRING").replace("VOID", "STRING")
+    kinds = {"OBJECT": "STRUCT", "VARIANT": "STRING", "VOID": "STRING"}
+    text = _TYPE_WORD.sub(lambda m: m[0] if m[2] is None else m[1] + kinds[m[2]], variant_type)
     parsed = T._parse_datatype_string(text)
     if not isinstance(parsed, T.StructType):
         raise ValueError(f"messages are not objects: {variant_type}")

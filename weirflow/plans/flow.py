@@ -6,7 +6,7 @@ import datetime as dt
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weirflow.config import DEFAULT_TOPICS, TopicConfig
@@ -41,10 +41,16 @@ def _kept_parts(checked: DataFrame) -> DataFrame:
     )
 
 
-def latest_message_time(messages: DataFrame) -> dt.datetime:
-    """The newest message time of a batch: a "now" that a replay of the batch finds again."""
-    newest = messages.agg(F.unix_millis(F.max("timestamp")).alias("ms")).first()["ms"] or 0
-    return dt.datetime.fromtimestamp(newest / 1000, dt.timezone.utc).replace(tzinfo=None)
+def batch_clock(messages: DataFrame, started: Column | None = None) -> dt.datetime:
+    """The "now" of a batch: its newest message time, but no later than the batch started.
+
+    A stream gives the start that its checkpoint keeps for the batch, so a replay finds the same time;
+    by default it is the present.  Without message times, or without messages, the start is the clock.
+    """
+    start = F.max(started) if started is not None else F.current_timestamp()
+    bounded = F.unix_millis(F.least(F.max("timestamp").cast("timestamp"), start))
+    row = messages.agg(bounded.alias("ms"), F.unix_millis(F.coalesce(start, F.current_timestamp())).alias("start")).first()
+    return dt.datetime.fromtimestamp((row["ms"] if row["ms"] is not None else row["start"]) / 1000, dt.timezone.utc).replace(tzinfo=None)
 
 
 def write_messages(
@@ -60,7 +66,7 @@ def write_messages(
     writes.  Both writes are keyed by ``batch_id``, so after a crash anywhere the batch can run again.
     """
     source = messages.persist(StorageLevel.MEMORY_AND_DISK) if len(topics) > 1 or as_of is None else messages
-    now = as_of or latest_message_time(source)
+    now = as_of or batch_clock(source)
     kept, letters = [], [dlq_envelope(unrouted(route(source, topics)), now)]
     try:
         for topic in topics:

@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 from weirflow.config import COMMERCE_EVENTS, USER_EVENTS
 from weirflow.functions import keys
-from weirflow.functions.times import event_time
 from weirflow.operators.batches import batch_assignment
 from weirflow.operators.dedup import dedup_offset
 from weirflow.operators.route import route
 from weirflow.operators.rules import accepted
-from weirflow.plans.flow import checked_messages
+from weirflow.operators.sinks import write_batch
+from weirflow.plans.flow import accepted_rows, checked_messages
 from weirflow.plans.queries.messages_sql import CC, CE, OE, PE, UC, UE, sql
 from weirflow.plans.queries.registry import AS_OF, AS_OF_2001, query
+from weirflow.plans.upkeep import read_as_text
+from weirflow.session import scratch_path
 from weirflow.sources import catalog
 from weirflow.sources import envelopes as src
 
@@ -70,16 +72,24 @@ def topic_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def events_by_type_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The guide's question to the lake: events and mean price per type in a period."""
-    rows = accepted(checked_messages(src.commerce_envelopes(spark, sf_dir), COMMERCE_EVENTS, AS_OF_2001))
-    at = event_time(F.col("rec.timestamp"))
+    """A user's question to the lake: events and mean price per type in a period, read from the table
+    by its partition columns."""
+    table = read_as_text(spark, commerce_table(spark, sf_dir), ("year", "month"))
     return (
-        rows.filter(F.date_format(at, "yyyy-MM") == "2000-03")
-        .groupBy(F.col("rec.event_type").alias("event_type"))
-        .agg(F.count("*").alias("events"), F.round(F.avg(F.col("rec.unit_price").try_cast("double")), 4).alias("avg_price"))
+        table.filter((F.col("year") == "2000") & (F.col("month") == "03"))
+        .groupBy("event_type")
+        .agg(F.count("*").alias("events"), F.round(F.avg(F.col("unit_price").try_cast("double")), 4).alias("avg_price"))
     )
 
 
+def commerce_table(spark: SparkSession, sf_dir: str) -> str:
+    """The commerce events written to their table."""
+    path = scratch_path(spark, "commerce")
+    rows = accepted_rows(src.commerce_envelopes(spark, sf_dir), COMMERCE_EVENTS, AS_OF_2001)
+    write_batch(rows, path, COMMERCE_EVENTS.destination.partition_columns, batch_id=1)
+    return path
+
+
 def part_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A schema catalog with one version per part and one subject per brand."""
     part = spark.read.parquet(f"{sf_dir}/part.parquet")

@@ -11,6 +11,7 @@ from weirflow.operators import dedup, maintenance, quality, schemas, sinks
 from weirflow.operators import enrich as e
 from weirflow.operators import rules as r
 from weirflow.operators.parse import parse, parsed_only
+from weirflow.plans import upkeep
 from weirflow.plans.flow import accepted_rows, checked_messages
 from weirflow.plans.queries.messages_sql import CC, CE, OE, OP, PE, UC, UP, sql
 from weirflow.plans.queries.registry import AS_OF, AS_OF_2001, query
@@ -64,17 +65,44 @@ def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("writer_stats")
+@query(
+    "writer_stats",
+    sql(OP, select="SELECT CAST(left(cob, 4) AS INTEGER) AS year, order_status, count(*) AS records, true AS has_files FROM oc WHERE reject_rule IS NULL GROUP BY ALL"),
+)
 def writer_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sizes and times of files differ between runs, so only the rows are checked."""
+    """Sizes and times of files differ between runs; that there are files and bytes does not."""
     table = sinks.read_table(spark, _written_orders(spark, sf_dir, "writer-stats"))
-    return sinks.writer_stats(table, ["year", "order_status"])
+    stats = sinks.writer_stats(table, ["year", "order_status"])
+    return stats.select(F.col("year").cast("int").alias("year"), "order_status", "records", ((F.col("files") > 0) & (F.col("bytes") > 0) & F.col("last_write").isNotNull()).alias("has_files"))
 
 
-@query("table_layout")
+@query(
+    "table_layout",
+    sql(OP, select="SELECT count(DISTINCT left(cob, 4) || order_status) AS directories, 1 AS commits, true AS has_files FROM oc WHERE reject_rule IS NULL"),
+)
 def table_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _written_orders(spark, sf_dir, "layout")
-    return quality.layout_report(sinks.file_inventory(spark, path).filter(F.col("path").endswith(".parquet")), commits=1)
+    report = quality.layout_report(sinks.file_inventory(spark, path).filter(F.col("path").endswith(".parquet")), commits=1)
+    return report.select("directories", "commits", ((F.col("data_files") >= F.col("directories")) & (F.col("bytes") > 0) & (F.col("files_per_commit") == F.col("data_files"))).alias("has_files"))
+
+
+@query(
+    "compaction_rewrite",
+    sql(OP, select="""SELECT left(cob, 4) AS year, substr(cob, 6, 2) AS month, order_status, CAST(1 + "offset" % 3 AS BIGINT) AS ingest_batch, count(*) AS orders, true AS fewer_files
+        FROM oc WHERE reject_rule IS NULL GROUP BY ALL"""),
+)
+def compaction_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches written by the flow's writer, then merged: the same rows and partition values."""
+    table, output, place = scratch_path(spark, "batches"), scratch_path(spark, "merged"), ("year", "month", "order_status")
+    orders = src.order_envelopes(spark, sf_dir)
+    for batch in range(3):
+        rows = accepted_rows(orders.filter(F.col("offset") % 3 == batch), ORDER_EVENTS, AS_OF_2001)
+        sinks.write_batch(rows, table, place, batch_id=batch + 1)
+    merged = upkeep.compact(spark, table, output, place)
+    files = lambda path: sinks.file_inventory(spark, path).filter(F.col("path").endswith(".parquet")).agg(F.count("*").alias("n"))
+    fewer = files(table).withColumnRenamed("n", "before").join(files(output).withColumnRenamed("n", "after"), F.lit(True)).select((F.col("after") < F.col("before")).alias("fewer_files"))
+    counted = merged.groupBy("year", "month", "order_status", sinks.BATCH).agg(F.count("*").alias("orders"))
+    return counted.join(F.broadcast(fewer), F.lit(True))  # one row
 
 
 # ---- schemas --------------------------------------------------------------------------------
@@ -120,10 +148,13 @@ def schema_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schemas.compatibility(table.filter("topic = 'page.events.v1'"), table.filter("topic = 'commerce.events.v1'"))
 
 
-@query("inferred_type")
+@query("inferred_type", sql(OE, select=_FIELDS_SQL.replace("SELECT topic, value FROM pe UNION ALL SELECT topic, value FROM ce UNION ALL ", "") + "SELECT field, type FROM ft"))
 def inferred_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The merged nested type of all order messages in Spark's notation."""
-    return schemas.inferred_ddl(src.order_envelopes(spark, sf_dir))
+    """The merged nested type of all order messages, as a table of its top-level fields."""
+    schema = schemas.to_struct_type(schemas.inferred_ddl(src.order_envelopes(spark, sf_dir)).first()[0])
+    names = {"struct": "OBJECT", "array": "ARRAY", "decimal": "DOUBLE"}
+    rows = [(f.name, names.get(f.dataType.typeName(), f.dataType.simpleString().upper())) for f in schema.fields]
+    return spark.createDataFrame(rows, "field string, type string")
 
 
 @query(
@@ -292,19 +323,18 @@ ft AS (SELECT table_path, part, table_path || '/' || part || printf('/part-%09d.
 @query(
     "compaction_plan",
     sql(_FILE_TABLE_SQL, select="""
-    , s AS (SELECT *, count(*) OVER (PARTITION BY table_path, part) AS n FROM ft WHERE size < 40000000),
-    g AS (SELECT *, CAST('0x' || left(md5(path), 8) AS BIGINT) % CAST(ceil(n / 20.0) AS BIGINT) AS group_no FROM s)
-    SELECT table_path, part AS partition, path, size, group_no, CAST(coalesce(sum(size) OVER (PARTITION BY table_path, part, group_no ORDER BY path ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) // 40000000 AS bin_no FROM g"""),
+    , g AS (SELECT * FROM ft WHERE size < 40000000)
+    SELECT table_path, part AS partition, path, size, CAST(coalesce(sum(size) OVER (PARTITION BY table_path, part ORDER BY path ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) // 40000000 AS bin_no FROM g"""),
 )
 def compaction_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return maintenance.compaction_plan(file_table(spark, sf_dir), target_bytes=40_000_000, files_per_group=20)
+    return maintenance.compaction_plan(file_table(spark, sf_dir), target_bytes=40_000_000)
 
 
 @query(
     "compaction_bins",
     sql(_FILE_TABLE_SQL, select="""
     , g AS (SELECT *, CAST(coalesce(sum(size) OVER (PARTITION BY table_path, part ORDER BY path ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) // 134217728 AS bin_no FROM ft)
-    SELECT table_path, part AS partition, CAST(0 AS BIGINT) AS group_no, bin_no, count(*) AS files, CAST(sum(size) AS BIGINT) AS bytes FROM g GROUP BY table_path, part, bin_no HAVING count(*) > 1"""),
+    SELECT table_path, part AS partition, bin_no, count(*) AS files, CAST(sum(size) AS BIGINT) AS bytes FROM g GROUP BY table_path, part, bin_no HAVING count(*) > 1"""),
 )
 def compaction_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maintenance.bins_to_merge(maintenance.compaction_plan(file_table(spark, sf_dir)))

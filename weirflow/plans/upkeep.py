@@ -1,8 +1,8 @@
-"""Maintenance jobs: merging small files behind a pointer, and removing what nothing refers to.
+"""Maintenance jobs: rewriting the small files of a table, and recording which operation ran when.
 
-A maintained table is a directory with versions ``v=<n>/`` and a file ``_current`` naming the version
-that readers use.  Readers that resolved the pointer before a switch keep their version until vacuum.
-This is a pointer switch, not a transaction log: one maintenance job per table at a time.
+Nothing here switches readers or deletes files: which files make up a table is for the table format or
+the catalog to say.  The decisions (what is due, which files to merge, which to drop) are in
+:mod:`weirflow.operators.maintenance`.
 """
 
 from __future__ import annotations
@@ -12,108 +12,48 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from weirflow.config import Destination
-from weirflow.operators.maintenance import OPTIMIZE, TARGET_BYTES, VACUUM, compaction_plan, maintenance_stats, vacuum_candidates
+from weirflow.operators.maintenance import OPTIMIZE, TARGET_BYTES, VACUUM, compaction_plan, maintenance_stats
 from weirflow.operators.sinks import BATCH, file_inventory, read_table
 
 log = logging.getLogger(__name__)
 
-POINTER = "_current"
 
+def read_as_text(spark: SparkSession, path: str, partition_columns: tuple[str, ...]) -> DataFrame:
+    """A table with its partition columns as the directories spell them (``month=01`` stays ``01``)."""
+    found = read_table(spark, path).schema
+    for column in (BATCH, *partition_columns):
+        if column in found.names:
+            found[column].dataType = StringType()
+    return spark.read.schema(found).parquet(path)
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
+def compact(
+    spark: SparkSession, table: str, output: str, partition_columns: tuple[str, ...], before_batch: int | None = None, target_bytes: int = TARGET_BYTES
+) -> DataFrame:
+    """Rewrite the closed batches of a table that :func:`write_messages` fills into ``output``.
 
-def current_version(spark: SparkSession, table: str) -> int | None:
-    fs, pointer = _fs(spark, f"{table}/{POINTER}")
-    if not fs.exists(pointer):
-        return None
-    stream = fs.open(pointer)
-    try:
-        return int(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
-
-
-def version_path(table: str, version: int) -> str:
-    return f"{table.rstrip('/')}/v={version}"
-
-
-def publish(spark: SparkSession, table: str, version: int) -> None:
-    """Point readers at ``version``."""
-    fs, pointer = _fs(spark, f"{table}/{POINTER}")
-    out = fs.create(pointer, True)
-    try:
-        out.write(bytearray(str(version), "utf-8"))
-    finally:
-        out.close()
-
-
-def read_current(spark: SparkSession, table: str) -> DataFrame:
-    version = current_version(spark, table)
-    return read_table(spark, table if version is None else version_path(table, version))
-
-
-def compact(spark: SparkSession, table: str, partition_columns: tuple[str, ...], target_bytes: int = TARGET_BYTES) -> int:
-    """Rewrite the current version with files of about ``target_bytes`` and publish it.
-
-    Rows follow the bin of the file they came from; large files keep a bin of their own.  The plan has
-    one row per file and is joined by path, broadcast only if its run-time size allows it.
+    Closed are the batches below ``before_batch`` (default: all).  Small files of one table partition
+    are merged across batches, in bins of about ``target_bytes``; rows of larger files stay with the
+    splits of their file.  The number of the batch stays with each row as the column ``ingest_batch``,
+    and partition values stay as they were.  Returns the table that was written.
     """
-    version = current_version(spark, table)
-    if version is None:
-        raise ValueError(f"{table} has no published version")
-    source = version_path(table, version)
-    files = file_inventory(spark, source)
-    plan = compaction_plan(files, target_bytes).select(
-        F.col("path"), F.concat_ws("/", "partition", "group_no", "bin_no").alias("_bin")
-    )
-    volume = files.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()["bytes"]
-    tasks = max(1, -(-volume // target_bytes))
-    rows = read_table(spark, source)
-    columns = [c for c in rows.columns if c != BATCH]
-    tagged = rows.select(*columns, F.col("_metadata.file_path").alias("_path"))
-    placed = (
-        tagged.join(plan.withColumnRenamed("path", "_path"), "_path", "left")
-        .withColumn("_bin", F.coalesce("_bin", "_path"))
-        .repartition(int(tasks), "_bin")
-        .drop("_bin", "_path")
+    rows = read_as_text(spark, table, partition_columns)
+    closed = F.lit(True) if before_batch is None else F.col(BATCH).cast("bigint") < before_batch
+    files = file_inventory(spark, table).filter(F.col("path").contains(f"/{BATCH}=") & F.col("path").endswith(".parquet"))
+    # Files of different batches lie in one bin if the rest of their directories agrees.
+    place = F.regexp_replace("partition", rf"^.*/{BATCH}=[^/]*", "")
+    bins = compaction_plan(files.withColumn("partition", place), target_bytes).select(
+        F.col("path").alias("_path"), F.concat_ws("/", "partition", "bin_no").alias("_bin")
     )
-    placed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_columns).parquet(
-        version_path(table, version + 1)
-    )
-    publish(spark, table, version + 1)
-    return version + 1
-
-
-def vacuum(spark: SparkSession, table: str, as_of: dt.datetime, retention_hours: int = 168, dry_run: bool = True) -> DataFrame:
-    """Files of unpublished versions older than the retention time; removed unless ``dry_run``.
-
-    A version is removed as a whole, once all of its files are candidates.
-    """
-    version = current_version(spark, table)
-    files = file_inventory(spark, table).filter(~F.col("path").endswith(POINTER))
-    live = file_inventory(spark, version_path(table, version))
-    candidates = vacuum_candidates(files, live, as_of, retention_hours)
-    if not dry_run:
-        old = [v for v in _versions(spark, table) if v < version]
-        for v in old:
-            stale = candidates.filter(F.col("path").contains(f"/v={v}/"))
-            total = files.filter(F.col("path").contains(f"/v={v}/"))
-            if stale.count() == total.count():
-                fs, target = _fs(spark, version_path(table, v))
-                fs.delete(target, True)
-    return candidates
-
-
-def _versions(spark: SparkSession, table: str) -> list[int]:
-    fs, root = _fs(spark, table)
-    names = [status.getPath().getName() for status in fs.listStatus(root)]
-    return sorted(int(n[2:]) for n in names if n.startswith("v="))
+    tagged = rows.filter(closed).withColumn("_path", F.col("_metadata.file_path"))
+    small = tagged.join(bins, "_path").repartition("_bin").drop("_path", "_bin")
+    large = tagged.join(bins, "_path", "left_anti").drop("_path")
+    merged = small.unionByName(large).withColumn(BATCH, F.col(BATCH).cast("bigint"))
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_columns).parquet(output)
+    return spark.read.schema(merged.schema).parquet(output)
 
 
 def record_commit(spark: SparkSession, commit_log: str, table: str, operation: str, at: dt.datetime) -> None:
@@ -122,30 +62,28 @@ def record_commit(spark: SparkSession, commit_log: str, table: str, operation: s
     row.coalesce(1).write.mode("append").parquet(commit_log)
 
 
-def maintain(spark: SparkSession, table: str, destination: Destination, commit_log: str, as_of: dt.datetime) -> list[str]:
-    """Compact and vacuum a table if due.  A failure is logged and does not stop the caller.
+def maintain(spark: SparkSession, table: str, output: str, destination: Destination, commit_log: str, as_of: dt.datetime) -> dict[str, bool]:
+    """Compact a table if due, and say whether its storage should drop old files.
 
-    The run is recorded even when it fails, so that a broken table is not tried after every batch.
-    Returns the operations that were tried.
+    Returns the operations that were due with whether they are done.  A failure is logged, does not
+    stop the caller and is not recorded, so it is tried again.  VACUUM is never done here: it is the
+    storage's own, and recorded by whoever runs it.
     """
     options = destination.options
     mine = spark.read.parquet(commit_log).filter(F.col("table_path") == table)
     stats = maintenance_stats(mine).first()
-    tried = []
+    done: dict[str, bool] = {}
     if stats is None:
-        return tried
+        return done
     if options.enable_optimize and stats["batches_since_optimize"] >= options.optimize_interval:
-        tried.append(OPTIMIZE)
-    last = stats["last_vacuum"]
-    if options.enable_vacuum and (last is None or as_of - last >= dt.timedelta(hours=options.vacuum_retention_hours)):
-        tried.append(VACUUM)
-    for operation in tried:
         try:
-            if operation == OPTIMIZE:
-                compact(spark, table, destination.partition_columns)
-            else:
-                vacuum(spark, table, as_of, options.vacuum_retention_hours, dry_run=False)
+            compact(spark, table, output, destination.partition_columns)
+            record_commit(spark, commit_log, table, OPTIMIZE, as_of)
+            done[OPTIMIZE] = True
         except Exception:  # noqa: BLE001
-            log.warning("%s of %s failed", operation, table, exc_info=True)
-        record_commit(spark, commit_log, table, operation, as_of)
-    return tried
+            log.warning("%s of %s failed", OPTIMIZE, table, exc_info=True)
+            done[OPTIMIZE] = False
+    last = stats["last_vacuum"]
+    if options.enable_vacuum and (last is None or as_of - last >= dt.timedelta(hours=options.vacuum_retention_hours)):
+        done[VACUUM] = False
+    return done

@@ -68,18 +68,22 @@ def file_batch(spark: SparkSession, path: str, file_format: str = "parquet") ->
 # ---------------------------------------------------------------------------------------------
 
 
+PARTITIONS = "weirflow.source.partitions"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on inputs of fewer splits than cores.
+    """Deal the rows to as many tasks as the setting ``weirflow.source.partitions`` says; by default
+    the splits of the files stay as they are.
 
-    Parsing costs far more than reading, and a small file with one row group would keep one core busy.
-    Large inputs have enough splits, so they are not shuffled.
+    Parsing costs far more than reading, and a file with one row group keeps one core busy.  The
+    setting is for inputs of a few such files; it is a shuffle, so large tables go without it.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    n = df.sparkSession.conf.get(PARTITIONS, None)
+    return df.repartition(int(n)) if n else df
 
 
 def _quoted(c: Column) -> Column:

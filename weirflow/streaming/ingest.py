@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -12,7 +12,11 @@ from weirflow.config import DEFAULT_TOPICS, TopicConfig
 from weirflow.functions.times import as_of_timestamp
 from weirflow.operators.enrich import with_record_metadata
 from weirflow.operators.metrics import failure_rate_windows
-from weirflow.plans.flow import write_messages
+from weirflow.operators.sinks import read_table, write_batch
+from weirflow.plans.flow import batch_clock, write_messages
+
+RUNS_PATH = "runs"
+STARTED = "_batch_started"
 
 # Flush settings as triggers: every 60 seconds, or once over everything that is there.
 EVERY_MINUTE = {"processingTime": "60 seconds"}
@@ -29,13 +33,24 @@ def ingest(
 ) -> StreamingQuery:
     """Write a stream of envelopes to its tables and the dead-letter table, each batch exactly once.
 
-    Without ``as_of`` every batch takes the newest message time in it.
+    Without ``as_of`` every batch takes the newest message time in it, bounded by the start of the
+    batch that the checkpoint keeps.  Each batch leaves one row in the table of runs.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_messages(batch, root, batch_id, topics, as_of)
+        began = dt.datetime.now(dt.timezone.utc)
+        seen = Observation(f"run-{batch_id}")
+        counted = batch.observe(seen, F.count("*").alias("processed")).drop(STARTED)
+        now = as_of or batch_clock(batch, F.col(STARTED))
+        write_messages(counted, root, batch_id, topics, now)
+        ms = int((dt.datetime.now(dt.timezone.utc) - began).total_seconds() * 1000)
+        row = [(batch_id, began.isoformat(), int(seen.get["processed"]), ms)]
+        run = batch.sparkSession.createDataFrame(row, "batch_id bigint, started_at string, processed bigint, duration_ms bigint")
+        write_batch(run, f"{root.rstrip('/')}/{RUNS_PATH}", (), batch_id)
 
-    return messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    # In a streaming plan this is the time at which the batch was planned, kept in the checkpoint.
+    timed = messages.withColumn(STARTED, F.current_timestamp())
+    return timed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 _TIME_PARTS = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH"}
@@ -71,7 +86,6 @@ def failure_rates(outcomes: DataFrame, watermark: str = "10 minutes") -> DataFra
     return failure_rate_windows(outcomes.withWatermark("timestamp", watermark), F.col("reject_rule").isNotNull())
 
 
-def run_results(query: StreamingQuery) -> DataFrame:
-    """Progress of a query as rows: batch, start, rows, milliseconds."""
-    rows = [(p["batchId"], p["timestamp"], int(p["numInputRows"]), int(p["durationMs"].get("triggerExecution", 0))) for p in query.recentProgress]
-    return SparkSession.active().createDataFrame(rows, "batch_id bigint, started_at string, processed bigint, duration_ms bigint")
+def run_results(spark: SparkSession, root: str) -> DataFrame:
+    """All batches that an ingestion has written, one row each: batch, start, rows, milliseconds."""
+    return read_table(spark, f"{root.rstrip('/')}/{RUNS_PATH}").select("batch_id", "started_at", "processed", "duration_ms")
