@@ -21,10 +21,9 @@ LOOSE_DECIMAL_TEXT = r"^[+-]?(NaN|Infinity|([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]
 def trimmed(text: Column) -> Column:
     """Trim blanks and control characters at both ends, not only spaces.
 
-    The plain trim is several times faster, and what it leaves rarely has a control character at an end.
+    A look at both ends is several times faster than trimming, and rarely finds anything to trim.
     """
-    plain = F.trim(text)
-    return F.when((plain < " ") | (F.right(plain, F.lit(1)) < " "), F.trim(text, F.lit(BLANKS))).otherwise(plain)
+    return F.when((text < "!") | (F.right(text, F.lit(1)) < "!"), F.trim(text, F.lit(BLANKS))).otherwise(text)
 
 
 def is_blank(text: Column) -> Column:

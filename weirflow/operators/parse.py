@@ -108,11 +108,9 @@ def _with_default(value: Column, field: T.StructField) -> Column:
 
 
 def _csv_text(cell: Column, field: T.StructField) -> Column:
-    """A CSV cell; in a nullable field the word "null" and the empty cell are NULL."""
-    text = values.trimmed(cell)
-    if field.nullable:
-        text = F.when(F.lower(text) != "null", text)
-    return F.when(text != "", text)
+    """A trimmed CSV cell; in a nullable field the word "null" and the empty cell are NULL."""
+    empty = (cell == "") | (F.lower(cell) == "null") if field.nullable else cell == ""
+    return F.when(~empty, cell)
 
 
 def _broken_csv(value: Column) -> Column:
@@ -143,47 +141,31 @@ def with_raw(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def parse(df: DataFrame, topic: TopicConfig, as_of: dt.datetime) -> DataFrame:
-    """Envelopes -> envelopes plus ``format``, ``rec``, ``cob`` and ``parse_error`` (NULL = parsed)."""
+    """Envelopes -> envelopes plus ``format``, ``rec``, ``cob`` and ``parse_error`` (NULL = parsed).
+
+    In steps, each computed once per row from the one before: trimmed cells, the text of each field
+    from either format, values, and the record with its error.  Small steps keep each generated
+    method within what the JVM compiles.
+    """
+    fields, is_csv = topic.schema.fields, F.col("format") == CSV
     raw = with_raw(df, topic.schema)
-    is_csv = F.col("format") == CSV
-    members, errors = [], []
-    for field in topic.schema.fields:
-        cell = _csv_text(F.col("_csv")[field.name], field)
-        json_text = F.col("_json")[field.name]
+    cells = compute_once(raw, {"_cells": F.struct(*[values.trimmed(F.col("_csv")[f.name]).alias(f.name) for f in fields])})
+
+    chosen = []
+    for field in fields:
+        cell = _csv_text(F.col("_cells")[field.name], field)
         if _is_nested(field.dataType):
-            text = F.when(is_csv, F.from_json(cell, text_schema(field.dataType))).otherwise(json_text)
-            value = _converted(text, field, as_of, topic.lenient)
-            bad = _any(
-                [
-                    c
-                    for c in (
-                        is_csv & cell.isNotNull() & text.isNull(),
-                        None if topic.lenient else _has_bad_value(text, field, as_of),
-                    )
-                    if c is not None
-                ]
-            )
-        elif isinstance(field.dataType, T.StringType):
-            value, bad = F.when(is_csv, cell).otherwise(json_text), None
-        elif _is_millis(field):
-            value, bad = timestamp_cascade(F.when(is_csv, cell).otherwise(json_text), as_of), None
-        else:
-            from_cell = values.strict(cell, field.dataType, from_csv=True)
-            if topic.lenient:
-                value = F.when(is_csv, from_cell).otherwise(values.lenient(json_text, field.dataType))
-                bad = is_csv & cell.isNotNull() & from_cell.isNull()
-            else:
-                value = F.when(is_csv, from_cell).otherwise(values.strict(json_text, field.dataType))
-                bad = F.when(is_csv, cell.isNotNull() & from_cell.isNull()).otherwise(
-                    json_text.isNotNull() & values.strict(json_text, field.dataType).isNull()
-                )
-        value = _with_default(value, field)
-        if field.name == "cob":
-            value = _filled_cob(value, topic.schema, as_of)
-        members.append(value.alias(field.name))
+            cell = F.from_json(cell, text_schema(field.dataType))
+        chosen.append(F.when(is_csv, cell).otherwise(F.col("_json")[field.name]).alias(field.name))
+    texts = compute_once(cells, {"_text": F.struct(*chosen)})
+    converted = [_value(F.col("_text")[f.name], f, topic.lenient, is_csv, as_of).alias(f.name) for f in fields]
+    valued = compute_once(texts, {"_value": F.struct(*converted)})
+
+    errors = []
+    for field in fields:
+        bad = _bad(field, topic.lenient, is_csv, as_of)
         if bad is not None:
             errors.append(F.when(bad, F.lit(f"bad_field:{field.name}")))
-
     error = F.coalesce(
         F.when(F.col("value").isNull(), F.lit("null_value")),
         F.when(values.is_blank(F.col("value")), F.lit("empty_message")),
@@ -192,10 +174,38 @@ def parse(df: DataFrame, topic: TopicConfig, as_of: dt.datetime) -> DataFrame:
         *errors,
         F.lit(None).cast("string"),
     )
+    members = []
+    for field in fields:
+        value = _with_default(F.col("_value")[field.name], field)
+        members.append((_filled_cob(value, topic.schema, as_of) if field.name == "cob" else value).alias(field.name))
     rec = F.struct(*members)
-    in_record = "cob" in topic.schema.names
-    cob = rec["cob"] if in_record else _filled_cob(F.lit(None).cast("string"), topic.schema, as_of)
-    return compute_once(raw, {"rec": rec, "cob": cob, "parse_error": error}).drop("_json", "_csv")
+    cob = rec["cob"] if "cob" in topic.schema.names else _filled_cob(F.lit(None).cast("string"), topic.schema, as_of)
+    return compute_once(valued, {"rec": rec, "cob": cob, "parse_error": error}).drop("_json", "_csv", "_cells", "_text", "_value")
+
+
+def _value(text: Column, field: T.StructField, lenient: bool, is_csv: Column, as_of: dt.datetime) -> Column:
+    """The text of one field as its declared type, by the rules of the message's format."""
+    kind = field.dataType
+    if _is_nested(kind) or isinstance(kind, T.StringType) or _is_millis(field):
+        return _converted(text, field, as_of, lenient)
+    if lenient:
+        return F.when(is_csv, values.strict(text, kind, from_csv=True)).otherwise(values.lenient(text, kind))
+    if isinstance(kind, (T.DoubleType, T.FloatType, T.BooleanType)):
+        return F.when(is_csv, values.strict(text, kind, from_csv=True)).otherwise(values.strict(text, kind))
+    return values.strict(text, kind)
+
+
+def _bad(field: T.StructField, lenient: bool, is_csv: Column, as_of: dt.datetime) -> Column | None:
+    """Whether a field has text that is no value of its type; None if that cannot happen."""
+    text, kind = F.col("_text")[field.name], field.dataType
+    if _is_nested(kind):
+        lost = is_csv & _csv_text(F.col("_cells")[field.name], field).isNotNull() & text.isNull()
+        inside = None if lenient else _has_bad_value(text, field, as_of)
+        return lost if inside is None else lost | inside
+    if isinstance(kind, T.StringType) or _is_millis(field):
+        return None
+    bad = text.isNotNull() & F.col("_value")[field.name].isNull()
+    return is_csv & bad if lenient else bad
 
 
 def _filled_cob(cob: Column, schema: T.StructType, as_of: dt.datetime) -> Column:
@@ -204,7 +214,7 @@ def _filled_cob(cob: Column, schema: T.StructType, as_of: dt.datetime) -> Column
     return F.coalesce(
         cob,
         F.col("_json")[_COB_DATE],
-        values.trimmed(F.col("_csv")[schema.fields[0].name]),
+        F.col("_cells")[schema.fields[0].name],
         F.date_format(as_of_date(as_of), "yyyy-MM-dd"),
     )
 

@@ -37,7 +37,7 @@ def local_session(app: str = "weirflow", cores: str = "*", shuffle_partitions: i
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
-        .config("weirflow.source.partitions", str(os.cpu_count() if cores == "*" else cores))
+        .config("spark.weirflow.source.partitions", str(os.cpu_count() if cores == "*" else cores))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # Call-site capture costs a round trip per Column; rule chains have hundreds of them.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")

@@ -68,7 +68,7 @@ def file_batch(spark: SparkSession, path: str, file_format: str = "parquet") ->
 # ---------------------------------------------------------------------------------------------
 
 
-PARTITIONS = "weirflow.source.partitions"
+PARTITIONS = "spark.weirflow.source.partitions"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,7 +76,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows to as many tasks as the setting ``weirflow.source.partitions`` says; by default
+    """Deal the rows to as many tasks as the setting ``spark.weirflow.source.partitions`` says; by default
     the splits of the files stay as they are.
 
     Parsing costs far more than reading, and a file with one row group keeps one core busy.  The
