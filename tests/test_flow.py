@@ -337,3 +337,38 @@ def test_quantiles_of_a_narrow_range_of_a_hot_key(spark):
         own.sort()
         for q in metrics.QUANTILES:
             assert got[k, q] == own[-(-int(q * 10_000) * len(own) // 10_000) - 1]
+
+
+def test_second_deliveries_are_dropped_when_a_topic_asks(spark, batch, tmp_path):
+    from dataclasses import replace
+
+    for by in ("offset", "content"):
+        root = str(tmp_path / by)
+        topics = tuple(replace(t, processing=replace(t.processing, dedup=by)) for t in DEFAULT_TOPICS)
+        write_messages(batch.unionByName(batch), root, 1, topics, as_of=NOW)
+        tables, _ = lake(spark, root)
+        assert tables["user-events"] == (30 if by == "offset" else 5)  # five different bodies
+
+
+def test_second_deliveries_across_batches_of_a_stream(spark, tmp_path):
+    source, root = str(tmp_path / "in"), str(tmp_path / "lake")
+    start = lambda: stream.ingest(file_stream(spark, source, max_files=1), root, str(tmp_path / "cp"), as_of=NOW, trigger=stream.ALL_AVAILABLE, dedup="offset")
+    for _ in range(2):
+        spark.createDataFrame(rows(80), ENVELOPE).coalesce(1).write.mode("append").parquet(source)
+        start().awaitTermination()
+    tables, letters = lake(spark, root)
+    assert sum(tables.values()) + sum(letters.values()) == 80
+
+
+def test_a_schema_file_is_checked(spark, tmp_path):
+    from dataclasses import replace
+
+    path = tmp_path / "s.json"
+    path.write_text(json.dumps({"type": "object", "properties": {"user_id": {"type": "string", "pattern": "^user-"}, "level": {"enum": [1, 2.5, None, True, "x"]}, "big": {"type": "integer"}}}))
+    topic = replace(USER_EVENTS, schema_file=f"file://{path}")
+    bodies = [{}, {"user_id": "nobody-1"}, {"level": 2}, {"level": 1}, {"level": 2.5}, {"level": None}, {"level": True}, {"level": "x"}, {"big": 12345678901234567890}, {"big": 1.5}]
+    data = [(USER_EVENTS.topic, 0, i, None, json.dumps({**GOOD, **b}), NOW, {}) for i, b in enumerate(bodies)]
+    checked = checked_messages(spark.createDataFrame(data, ENVELOPE), topic, NOW).orderBy("offset").collect()
+    assert [r.reject_rule == "json_schema" for r in checked] == [False, True, True, False, False, False, False, False, False, True]
+    missing = replace(USER_EVENTS, schema_file=f"file://{tmp_path}/none.json")
+    assert "json_schema" not in {r.reject_rule for r in checked_messages(spark.createDataFrame(data, ENVELOPE), missing, NOW).collect()}

@@ -120,6 +120,7 @@ class Processing:
     batch_size: int = 1000
     flush_interval_seconds: int = 60
     max_retries: int = 3
+    dedup: str | None = None  # "offset" or "content": drop second deliveries before parsing
 
 
 @dataclass(frozen=True)

@@ -52,6 +52,28 @@ def dedup_content_stream(df: DataFrame, keys: list[str], delay: str = "24 hours"
     return with_fingerprint(df).withWatermark(time, delay).dropDuplicatesWithinWatermark([*keys, "fingerprint"])
 
 
+def deduplicated(df: DataFrame, by: str | None) -> DataFrame:
+    """Envelopes without second deliveries, by position or by content within a topic; None keeps all."""
+    if by is None:
+        return df
+    if by == "offset":
+        return dedup_offset(df)
+    if by == "content":
+        return dedup_content(df, ["topic"]).select(*df.columns)
+    raise ValueError(f"unknown kind of duplicates {by!r}")
+
+
+def deduplicated_stream(df: DataFrame, by: str | None, delay: str = "24 hours") -> DataFrame:
+    """The same over a stream, across batches; deliveries more than ``delay`` apart are not compared."""
+    if by is None:
+        return df
+    if by == "offset":
+        return dedup_offset_stream(df, delay)
+    if by == "content":
+        return dedup_content_stream(df, ["topic"], delay).select(*df.columns)
+    raise ValueError(f"unknown kind of duplicates {by!r}")
+
+
 def record_key(columns: list[str]) -> Column:
     """``user_<id>`` or ``order_<id>`` plus ``_<timestamp>``; empty if a row has neither."""
     pieces = []

@@ -41,6 +41,36 @@ def topic_metrics(checked: DataFrame) -> DataFrame:
     return checked.groupBy("topic").agg(*counters()).withColumn("failure_rate", rate(F.col("failed"), F.col("processed")))
 
 
+PROCESS, WRITE, BREAKER_OPEN, OVERALL = "PROCESS", "WRITE", "BREAKER_OPEN", "overall"
+
+
+def operation_metrics(log: DataFrame, key: str = "topic") -> DataFrame:
+    """All counters per key, and one row ``overall``, from a log of operations.
+
+    The log has ``key``, ``operation`` (PROCESS, WRITE or BREAKER_OPEN), ``failed`` and
+    ``duration_ms``.  One grouping with map-side combine makes both levels.
+    """
+    op, failed = F.col("operation"), F.coalesce("failed", F.lit(False))
+    mean = lambda kind: F.avg(F.when(op == kind, F.col("duration_ms")))
+    totals = log.rollup(key).agg(
+        F.grouping(key).alias("_all"),
+        F.count_if(op == PROCESS).alias("processed"),
+        F.count_if((op == PROCESS) & failed).alias("failed"),
+        F.count_if(op == WRITE).alias("writes"),
+        F.count_if((op == WRITE) & failed).alias("write_failures"),
+        F.count_if(op == BREAKER_OPEN).alias("breaker_opens"),
+        mean(PROCESS).alias("mean_processing_ms"),
+        mean(WRITE).alias("mean_write_ms"),
+    )
+    return totals.withColumns(
+        {
+            key: F.when(F.col("_all") == 1, F.lit(OVERALL)).otherwise(F.col(key)),
+            "failure_rate": rate(F.col("failed"), F.col("processed")),
+            "write_failure_rate": rate(F.col("write_failures"), F.col("writes")),
+        }
+    ).drop("_all")
+
+
 def observed(checked: DataFrame, name: str) -> DataFrame:
     """The same counters as an observation, for progress events of a running stream."""
     return checked.observe(name, *counters())

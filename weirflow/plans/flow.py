@@ -10,19 +10,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weirflow.config import DEFAULT_TOPICS, TopicConfig
+from weirflow.operators.dedup import deduplicated
 from weirflow.operators.dlq import dlq_envelope, unrouted
 from weirflow.operators.enrich import table_rows
-from weirflow.operators.parse import parse
+from weirflow.operators.jsonschema import check_schema, load_schema
+from weirflow.operators.parse import JSON, parse
 from weirflow.operators.route import route
-from weirflow.operators.rules import accepted, rejected, validate
+from weirflow.operators.rules import Rule, accepted, rejected, validate
 from weirflow.operators.sinks import write_batch
 
 DLQ_PATH = "dead-letters"
 
 
 def checked_messages(messages: DataFrame, topic: TopicConfig, as_of: dt.datetime) -> DataFrame:
-    """Messages of one topic, parsed and checked; every message is kept."""
-    return validate(parse(messages, topic, as_of), topic, as_of)
+    """Messages of one topic, parsed and checked; every message is kept.
+
+    A topic with a schema file has its JSON messages checked against it, after the business rules.
+    """
+    parsed, schema = parse(messages, topic, as_of), load_schema(topic.schema_file)
+    if schema is None:
+        return validate(parsed, topic, as_of)
+    checked = check_schema(parsed, schema)
+    failed = (F.col("format") == JSON) & ~F.col("schema_valid")
+    rule = Rule("json_schema", failed, F.concat(F.lit("JSON schema: "), F.array_join("schema_errors", ", ")))
+    return validate(checked, topic, as_of, [rule]).drop("schema_errors", "schema_valid")
 
 
 def accepted_rows(messages: DataFrame, topic: TopicConfig, as_of: dt.datetime) -> DataFrame:
@@ -70,7 +81,8 @@ def write_messages(
     kept, letters = [], [dlq_envelope(unrouted(route(source, topics)), now)]
     try:
         for topic in topics:
-            checked = _kept_parts(checked_messages(source.filter(F.col("topic") == topic.topic), topic, now))
+            mine = deduplicated(source.filter(F.col("topic") == topic.topic), topic.processing.dedup)
+            checked = _kept_parts(checked_messages(mine, topic, now))
             checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
             kept.append(checked)
             place = topic.destination

@@ -115,6 +115,31 @@ def topic_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.topic_metrics(_checked(spark, sf_dir)).withColumn("failure_rate", F.round("failure_rate", 6))
 
 
+def operation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event is one message processed, each purchase one write, some errors open a breaker."""
+    kind, value = F.col("event_type"), F.col("value")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("service", F.concat(F.lit("user-"), (F.col("user_id") % 50).cast("string")))
+    processed = events.select("service", F.lit(metrics.PROCESS).alias("operation"), ((kind == "error") & (value < 30)).alias("failed"), value.alias("duration_ms"))
+    written = events.filter(kind == "purchase").select("service", F.lit(metrics.WRITE), value < 10, value * 60)
+    opened = events.filter((kind == "error") & (value < 5)).select("service", F.lit(metrics.BREAKER_OPEN), F.lit(False), F.lit(0.0))
+    return processed.union(written).union(opened)
+
+
+@query(
+    "operation_metrics",
+    """
+    WITH e AS (SELECT 'user-' || (user_id % 50) AS service, event_type AS k, value AS v FROM events)
+    SELECT coalesce(service, 'overall') AS service, count(*) AS processed, count(*) FILTER (k = 'error' AND v < 30) AS failed, count(*) FILTER (k = 'purchase') AS writes, count(*) FILTER (k = 'purchase' AND v < 10) AS write_failures,
+      count(*) FILTER (k = 'error' AND v < 5) AS breaker_opens, round(avg(v), 4) AS mean_processing_ms, round(avg(v * 60) FILTER (k = 'purchase'), 4) AS mean_write_ms,
+      round(count(*) FILTER (k = 'error' AND v < 30) / count(*), 6) AS failure_rate, round(CASE WHEN count(*) FILTER (k = 'purchase') = 0 THEN 0 ELSE count(*) FILTER (k = 'purchase' AND v < 10) / count(*) FILTER (k = 'purchase') END, 6) AS write_failure_rate
+    FROM e GROUP BY ROLLUP (service)""",
+)
+def operation_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = metrics.operation_metrics(operation_log(spark, sf_dir), "service")
+    rounded = {c: F.round(c, d) for c, d in (("mean_processing_ms", 4), ("mean_write_ms", 4), ("failure_rate", 6), ("write_failure_rate", 6))}
+    return measured.withColumns(rounded)
+
+
 @query(
     "health_status",
     """
@@ -127,23 +152,8 @@ def topic_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def health_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Health of fifty services from event outcomes and durations."""
-    kind, value = F.col("event_type"), F.col("value")
-    totals = (
-        spark.read.parquet(f"{sf_dir}/events.parquet")
-        .groupBy(F.concat(F.lit("user-"), (F.col("user_id") % 50).cast("string")).alias("service"))
-        .agg(
-            F.count("*").alias("processed"),
-            F.count_if((kind == "error") & (value < 30)).alias("failed"),
-            F.count_if(kind == "purchase").alias("writes"),
-            F.count_if((kind == "purchase") & (value < 10)).alias("write_failures"),
-            F.avg("value").alias("mean_processing_ms"),
-            F.avg(F.when(kind == "purchase", value * 60)).alias("mean_write_ms"),
-        )
-    )
-    rates = totals.withColumns(
-        {"failure_rate": metrics.rate(F.col("failed"), F.col("processed")), "write_failure_rate": metrics.rate(F.col("write_failures"), F.col("writes"))}
-    )
-    return metrics.health(rates).select(
+    measured = metrics.operation_metrics(operation_log(spark, sf_dir), "service").filter(F.col("service") != metrics.OVERALL)
+    return metrics.health(measured).select(
         "service", F.round("failure_rate", 6).alias("failure_rate"), F.round("write_failure_rate", 6).alias("write_failure_rate"),
         "overall_status", "processing_status", "storage_status", "performance_status",
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from weirflow.operators import enrich as e
 from weirflow.operators import rules as r
 from weirflow.operators.parse import parse, parsed_only
 from weirflow.plans import upkeep
-from weirflow.plans.flow import accepted_rows, checked_messages
+from weirflow.plans.flow import accepted_rows, checked_messages, write_messages
 from weirflow.plans.queries.messages_sql import CC, CE, OE, OP, PE, UC, UP, sql
 from weirflow.plans.queries.registry import AS_OF, AS_OF_2001, query
 from weirflow.session import scratch_path
@@ -105,6 +107,18 @@ def compaction_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.join(F.broadcast(fewer), F.lit(True))  # one row
 
 
+@query(
+    "flow_dedup",
+    sql(OP, select="SELECT order_status, count(*) AS orders FROM oc WHERE reject_rule IS NULL GROUP BY order_status"),
+)
+def flow_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order delivered twice in one batch; the flow that drops second deliveries writes each once."""
+    orders, root = src.order_envelopes(spark, sf_dir), scratch_path(spark, "twice")
+    topic = replace(ORDER_EVENTS, processing=replace(ORDER_EVENTS.processing, dedup="offset"))
+    write_messages(orders.unionByName(orders), root, 1, (topic,), AS_OF_2001)
+    return sinks.read_table(spark, topic.destination.location(root)).groupBy("order_status").agg(F.count("*").alias("orders"))
+
+
 # ---- schemas --------------------------------------------------------------------------------
 
 _FIELDS_SQL = """

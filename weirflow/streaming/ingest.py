@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from weirflow.config import DEFAULT_TOPICS, TopicConfig
 from weirflow.functions.times import as_of_timestamp
+from weirflow.operators.dedup import deduplicated_stream
 from weirflow.operators.enrich import with_record_metadata
 from weirflow.operators.metrics import failure_rate_windows
 from weirflow.operators.sinks import read_table, write_batch
@@ -30,11 +31,13 @@ def ingest(
     topics: tuple[TopicConfig, ...] = DEFAULT_TOPICS,
     as_of: dt.datetime | None = None,
     trigger: dict = EVERY_MINUTE,
+    dedup: str | None = None,
 ) -> StreamingQuery:
     """Write a stream of envelopes to its tables and the dead-letter table, each batch exactly once.
 
     Without ``as_of`` every batch takes the newest message time in it, bounded by the start of the
-    batch that the checkpoint keeps.  Each batch leaves one row in the table of runs.
+    batch that the checkpoint keeps.  ``dedup`` ("offset" or "content") drops second deliveries across
+    batches, within a day.  Each batch leaves one row in the table of runs.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -49,7 +52,7 @@ def ingest(
         write_batch(run, f"{root.rstrip('/')}/{RUNS_PATH}", (), batch_id)
 
     # In a streaming plan this is the time at which the batch was planned, kept in the checkpoint.
-    timed = messages.withColumn(STARTED, F.current_timestamp())
+    timed = deduplicated_stream(messages, dedup).withColumn(STARTED, F.current_timestamp())
     return timed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
