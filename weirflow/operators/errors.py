@@ -43,6 +43,7 @@ def is_retriable(rule_set: str) -> Column:
 
 
 def classification_reason(retriable: Column) -> Column:
+    # The texts of the reasons, which consumers compare.
     kind = F.coalesce("error_class", F.lit(""))
     message = F.lower(F.coalesce("error_message", F.lit("")))
     why = (

@@ -49,9 +49,9 @@ _ERRORS_SQL = f"""
 el0 AS (SELECT event_id, ({_list(ERROR_CLASSES)})[CAST(event_id % 11 AS INTEGER) + 1] AS c, ({_list(ERROR_MESSAGES)})[CAST(event_id // 3 % 8 AS INTEGER) + 1] AS m, ({_list(CAUSES)})[CAST(event_id // 7 % 5 AS INTEGER) + 1] AS cause FROM events),
 el AS (SELECT *, lower(coalesce(m, '')) AS lm FROM el0),
 er AS (SELECT *,
-  c IN ('ConnectException', 'SocketTimeoutException', 'UnknownHostException', 'TimeoutException', 'IOException') OR regexp_matches(c, 'ServiceException|ThrottlingException|InternalServerError|ServiceUnavailable|ConcurrentModification|FileNotFound')
+  c IN ('ConnectException', 'SocketTimeoutException', 'UnknownHostException', 'TimeoutException', 'IOException', 'FileNotFoundException') OR regexp_matches(c, 'ServiceException|ThrottlingException|InternalServerError|ServiceUnavailableException|ConcurrentModificationException|FileNotFoundException')
     OR regexp_matches(lm, 'timeout|connection|unavailable|throttl|rate limit|too many requests') OR regexp_matches(coalesce(cause, ''), '502|503|504|429|408|500') AS general,
-  regexp_matches(c, 'Connect|Timeout|ServiceException|ThrottlingException|InternalServerError|ServiceUnavailable|SlowDown|ConcurrentModification|FileNotFound|PartialWrite')
+  regexp_matches(c, 'Connect|Timeout|ServiceException|ThrottlingException|InternalServerError|ServiceUnavailableException|SlowDown|ConcurrentModificationException|FileNotFoundException|PartialWriteException')
     OR (c LIKE '%IO%' AND regexp_matches(lm, 'connection|timeout|network|unavailable|refused|reset')) OR regexp_matches(lm, 'timeout|connection|unavailable|throttl|rate limit|too many requests|service temporarily|try again') AS table_writer,
   regexp_matches(lm, 'timeout|connection|network|throttle|rate limit') OR NOT regexp_matches(lm, 'schema|validation') AS write_error,
   c IN ('IOException', 'SocketTimeoutException', 'ConnectException', 'UnknownHostException', 'FileNotFoundException') OR lm LIKE '%timeout%' AS listener FROM el)
