@@ -13,8 +13,11 @@ before is the part of the path that stays on the stack, so the nodes need not be
 from __future__ import annotations
 
 import json
+import re
+from array import array
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -25,8 +28,8 @@ from pyspark.sql import functions as F
 from weirflow.llm.common import texts, travels, without, worker_store
 
 FILE = "byte_bpe_50k.json"
-# How vocabularies of this kind cut texts into words.
-WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# How vocabularies of this kind cut texts into words (the commonest alternative first).
+WORDS = r" ?\p{L}+|'(?:[stmd]|re|ve|ll)| ?(?:\p{N}+|[^\s\p{L}\p{N}]+)|\s+(?!\S)|\s+"
 # Code points that became letters or numbers after Unicode 16, the version by which the
 # tokenizer library tells them; for it they are other signs.
 LATER = (
@@ -37,10 +40,14 @@ LATER = (
     "3D000-3FC3F"
 )
 KNOWN_WORDS = 150_000  # words of the younger half of what a worker keeps
+KNOWN_PAIRS = 400_000  # pairs of tokens whose fit a worker keeps
+NEVER = 1 << 60  # the rank of pairs that do not merge
 LONG_WORD = 200  # longer words are not kept
 _GROUP = 1 << 20  # characters whose words are looked up together
 _PIECES = 1 << 17  # words of a long text that are held at a time
 
+_FAR = re.compile("[\u0558-\U0010ffff]")
+
 travels(__name__)
 
 
@@ -73,7 +80,8 @@ class Pattern:
         self.later, self.plain, self.exact = regex.compile(f"[{spans}]"), regex.compile(pattern), regex.compile(later)
 
     def on(self, text: str) -> regex.Pattern:
-        return self.plain if text.isascii() or not self.later.search(text) else self.exact
+        """The exact pattern is needed only for letters that are later than the library, all from U+0558 on."""
+        return self.plain if not _FAR.search(text) or not self.later.search(text) else self.exact
 
     def findall(self, text: str) -> list[str]:
         return self.on(text).findall(text)
@@ -127,78 +135,124 @@ class Vocabulary:
             self.id_of.pop(t["content"].encode(), None)
         self.bytes_of = {i: b for b, i in self.id_of.items()} | {i: s.encode() for s, i in self.special.items()}
         self.size_of = {i: len(b) for i, b in self.bytes_of.items()}
-        self.longest = max(map(len, self.id_of))
         pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
         raw = {token: i for token, i in model["vocab"].items()}
         self.merge = {(raw[a], raw[b]): (rank, raw[a + b]) for rank, (a, b) in enumerate(pairs)}
         self.cut = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.words = Pattern(WORDS)
-        self._follows: dict[tuple[int, int], bool] = {}
-
-    def merged(self, data: bytes) -> list[int]:
-        """The definition of the encoding: merge the pair of least rank, the leftmost first.  Used
-        for pairs of tokens only."""
+        # Sizes, longest first, of the tokens that end with these three bytes.
+        tails: dict[bytes, set[int]] = defaultdict(lambda: {1, 2})
+        for token in self.id_of:
+            if len(token) >= 3:
+                tails[token[-3:]].add(len(token))
+        self.tails = {t: tuple(sorted(sizes, reverse=True)) for t, sizes in tails.items()}
+        self._follows: dict[int, bool] = {}
+        self._made: dict[int, tuple | None] = {}
+
+    def merged(self, data: bytes) -> tuple[list[int], list[tuple[int, int]], list[tuple[int, int]]]:
+        """The definition of the encoding: merge the pair of least rank, the leftmost first.
+
+        Gives the ids, and the tokens that stood first and last in turn, each with the rank of the
+        merge that made it.  Used once per token of the vocabulary.
+        """
         ids = [self.id_of[data[k : k + 1]] for k in range(len(data))]
+        first, final = [(ids[0], -1)], [(ids[-1], -1)]
         while len(ids) > 1:
             rank, at, made = self._best(ids)
             if at < 0:
                 break
             ids[at : at + 2] = [made]
-        return ids
+            if at == 0:
+                first.append((made, rank))
+            if at == len(ids) - 1:
+                final.append((made, rank))
+        return ids, first, final
 
     def _best(self, ids: list[int]) -> tuple[int, int, int]:
-        best = (1 << 60, -1, -1)
+        best = (NEVER, -1, -1)
         for k in range(len(ids) - 1):
             found = self.merge.get((ids[k], ids[k + 1]))
             if found and found[0] < best[0]:
                 best = (found[0], k, found[1])
         return best
 
+    def _edges(self, token: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]] | None:
+        """First and last tokens on the way to ``token``; None if its bytes do not merge into it."""
+        if token not in self._made:
+            ids, first, final = self.merged(self.bytes_of[token])
+            self._made[token] = (first, final) if ids == [token] else None
+        return self._made[token]
+
     def follows(self, before: int, token: int) -> bool:
-        """Whether ``token`` may stand after ``before`` (-1: at the start)."""
-        known = self._follows.get((before, token))
-        if known is None:
-            if len(self._follows) > 2_000_000:
-                self._follows.clear()
-            if before < 0:
-                known = self.merged(self.bytes_of[token]) == [token]
+        """Whether ``token`` may stand after ``before`` (-1: at the start).
+
+        Merges go by rising rank, so what touches the border at any time is known for each side
+        alone.  The two tokens stay apart if no pair that meets there merges before one of its sides
+        goes on growing; of equal ranks the left one goes first.
+        """
+        right = self._edges(token)
+        if before < 0 or right is None:
+            return right is not None
+        left, right = self._edges(before)[1], right[0]
+        i = j = 0
+        while True:
+            rank = self.merge.get((left[i][0], right[j][0]), (NEVER,))[0]
+            grow_left = left[i + 1][1] if i + 1 < len(left) else NEVER
+            grow_right = right[j + 1][1] if j + 1 < len(right) else NEVER
+            if rank < grow_left and rank <= grow_right and rank < NEVER:
+                return False
+            if grow_left == grow_right == NEVER:
+                return True
+            if grow_left <= grow_right:
+                i += 1
             else:
-                known = self.merged(self.bytes_of[before] + self.bytes_of[token]) == [before, token]
-            self._follows[before, token] = known
-        return known
+                j += 1
 
     def walk(self, words: Iterable[bytes]) -> Iterator[tuple[bytes, list[int]]]:
         """Depth first over the trie of ``words``: each word with the last tokens on its path (entry d
         is the state after d bytes).  The list changes with the next word."""
-        path, last = b"", [-1]
+        path, last, known, get, sizes_of = b"", [-1], self._follows, self.id_of.get, self.tails.get
+        if len(known) > KNOWN_PAIRS:
+            known.clear()
         for word in sorted(words):
             shared, most = 0, min(len(path), len(word))
             while shared < most and path[shared] == word[shared]:
                 shared += 1
             del last[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                last.append(self._state(word, end, last))
+                for size in sizes_of(word[end - 3 : end], (2, 1)) if end > 2 else range(end, 0, -1):
+                    start = end - size
+                    if start < 0:
+                        continue
+                    token = get(word[start:end])
+                    if token is None:
+                        continue
+                    pair = last[start] << 20 | token
+                    fits = known.get(pair)
+                    if fits is None:
+                        fits = known[pair] = self.follows(last[start], token)
+                    if fits:
+                        last.append(token)
+                        break
+                else:
+                    raise ValueError(f"no token ends byte {end} of {word!r}")
             path = word
             yield word, last
 
-    def _state(self, word: bytes, end: int, last: list[int]) -> int:
-        for size in range(min(end, self.longest), 0, -1):
-            token = self.id_of.get(word[end - size : end])
-            if token is not None and self.follows(last[end - size], token):
-                return token
-        raise ValueError(f"no token ends byte {end} of {word!r}")
-
-    def read_back(self, last: list[int]) -> tuple[int, ...]:
-        ids, end = [], len(last) - 1
+    def read_back(self, last: list[int]) -> bytes:
+        """The ids of the path, four bytes each."""
+        ids, end, size_of = [], len(last) - 1, self.size_of
         while end:
             ids.append(last[end])
-            end -= self.size_of[last[end]]
-        return tuple(reversed(ids))
+            end -= size_of[last[end]]
+        ids.reverse()
+        return array("i", ids).tobytes()
 
     def segments(self, text: str) -> Iterator[tuple[str, int | None]]:
         """Stretches of ordinary text (with None) and special tokens (with their id), in order."""
-        if self.cut is None:
-            yield text, None
+        if self.cut is None or not any(s in text for s in self.special):
+            if text:
+                yield text, None
             return
         for k, part in enumerate(self.cut.split(text)):
             if k % 2:
@@ -213,7 +267,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, bound: int = KNOWN_WORDS):
         self.vocabulary, self.recent = vocabulary, Recent(bound)
 
-    def lookup(self, words: set[str]) -> dict[str, tuple[int, ...]]:
+    def lookup(self, words: set[str]) -> dict[str, bytes]:
         """A table that holds all of ``words``, until the next lookup."""
         by_bytes = {w.encode("utf-8", "surrogatepass"): w for w in self.recent.unknown(words)}
         table = self.recent.young
@@ -230,8 +284,8 @@ class Encoder:
         def close() -> None:
             table = self.lookup({w for parts in group for words, _ in parts if words for w in words})
             for parts in group:
-                ids = chain.from_iterable((special,) if words is None else chain.from_iterable(map(table.__getitem__, words)) for words, special in parts)
-                out.append(np.fromiter(ids, dtype=np.int32))
+                data = (array("i", [special]).tobytes() if words is None else b"".join(map(table.__getitem__, words)) for words, special in parts)
+                out.append(np.frombuffer(b"".join(data), dtype=np.int32))
             group.clear()
 
         for text in several:
@@ -260,12 +314,12 @@ class Encoder:
                 continue
             for words in self.vocabulary.words.lists(part):
                 table = self.lookup(set(words))
-                parts.append(np.fromiter(chain.from_iterable(map(table.__getitem__, words)), dtype=np.int32))
+                parts.append(np.frombuffer(b"".join(map(table.__getitem__, words)), dtype=np.int32))
         return np.concatenate(parts) if parts else np.zeros(0, np.int32)
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ids; what is not UTF-8 becomes U+FFFD, and unknown ids are left out."""
-        return b"".join(map(self.vocabulary.bytes_of.get, ids)).decode("utf-8", "replace")
+        return b"".join(filter(None, map(self.vocabulary.bytes_of.get, ids))).decode("utf-8", "replace")
 
 
 def worker_vocabulary(text: str) -> Vocabulary:
@@ -292,7 +346,8 @@ def encoder_udf(spark: SparkSession, path: str | None = None):
     def encode(column: pd.Series) -> pd.Series:
         return pd.Series(worker_encoder(held.value).encode(column.tolist()))
 
-    return encode
+    # Not to be repeated: an expression over the ids must not encode the text again.
+    return encode.asNondeterministic()
 
 
 def decoder_udf(spark: SparkSession, path: str | None = None):
@@ -301,12 +356,24 @@ def decoder_udf(spark: SparkSession, path: str | None = None):
     @F.pandas_udf("string")
     def decode(column: pd.Series) -> pd.Series:
         encoder = worker_encoder(held.value)
-        known = encoder.vocabulary.bytes_of
-        return pd.Series([None if ids is None else encoder.decode(i for i in ids.tolist() if i in known) for ids in column], dtype=object)
+        return pd.Series([None if ids is None else encoder.decode(ids.tolist()) for ids in column], dtype=object)
 
     return decode
 
 
+def round_trip_udf(spark: SparkSession, path: str | None = None):
+    """Both in one task: the ids of a text, and the text that these ids give."""
+    held = spark.sparkContext.broadcast(vocabulary_text(path))
+
+    @F.pandas_udf("ids array<int>, decoded string")
+    def both(column: pd.Series) -> pd.DataFrame:
+        encoder = worker_encoder(held.value)
+        ids = encoder.encode(column.tolist())
+        return pd.DataFrame({"ids": ids, "decoded": [encoder.decode(i.tolist()) for i in ids]})
+
+    return both.asNondeterministic()
+
+
 def encode(docs: DataFrame, text: str = "text", out: str = "ids", path: str | None = None) -> DataFrame:
     """``docs`` with the token ids of each whole text; null and empty texts have none.
 
@@ -328,5 +395,5 @@ def digest_of_ids(ids: str) -> Column:
 
 def token_digests(docs: DataFrame, id_column: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """Per row: the id, n_tokens, ids_sha256 and decoded_sha256 of the whole text encoded and decoded."""
-    done = decode(encode(docs.select(id_column, text), text, path=path).select(id_column, "ids"), path=path)
+    done = docs.select(id_column, round_trip_udf(docs.sparkSession, path)(texts(text)).alias("_t")).select(id_column, "_t.*")
     return done.select(id_column, F.size("ids").cast("bigint").alias("n_tokens"), digest_of_ids("ids").alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.session import scratch_path
+from weirflow.session import configure, scratch_path
 
 
 def travels(module_name: str) -> None:
@@ -26,6 +26,18 @@ def worker_store(name: str) -> dict:
 travels(__name__)
 
 
+# Rows and bytes that go to a Python worker at a time: texts are long, and their ids and window
+# features longer.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the settings that the operators of this package want."""
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
+    return configure(spark)
+
+
 def write_table(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: later passes see the same rows, at no
     further cost, also after executors are lost."""
@@ -81,3 +93,22 @@ def add_bitmap_test(df: DataFrame, key: Column, bits: int, bitmap: DataFrame, ou
     placed = df.withColumn("_spot", F.bitmap_bucket_number(spot))
     joined = placed.join(F.broadcast(bitmap.withColumnRenamed("_bucket", "_spot")), "_spot", "left")
     return joined.withColumn(out, F.coalesce(bit == 1, F.lit(False))).drop("_spot", "_map")
+
+
+DROP_BITS = 1 << 25
+
+
+def drop_rows(docs: DataFrame, losers: DataFrame, id_column: str, text: str, bits: int = DROP_BITS) -> DataFrame:
+    """``docs`` without the rows that ``losers`` names by (id, mark), mark being xxhash64 of the text;
+    null ids are compared too.
+
+    A bitmap of bounded size tells most rows that stay from the others, and they stay where they are;
+    only rows whose bit is set are joined, so the texts that move are those that go, and a few more.
+    """
+    named = write_table(losers.select(F.col("id").alias("_id"), F.col("mark").alias("_mark")).distinct(), "losers")
+    bitmap = key_bitmap(named, F.struct("_id", "_mark"), bits, "losers-bitmap")
+    marked = docs.withColumns({"_id": F.col(id_column), "_mark": F.xxhash64(texts(text))})
+    tested = add_bitmap_test(marked, F.struct("_id", "_mark"), bits, bitmap, "_maybe")
+    same = F.col("a._id").eqNullSafe(F.col("b._id")) & (F.col("a._mark") == F.col("b._mark"))
+    doubtful = tested.filter("_maybe").alias("a").join(named.alias("b"), same, "left_anti")
+    return tested.filter("not _maybe").select(*docs.columns).union(doubtful.select(*docs.columns))

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirflow.llm import bpe, decontaminate, exact_dedup, langid, secrets, sharding, simhash, token_counts, toxicity, url_graph
-from weirflow.llm.common import remainder, table, texts
-from weirflow.session import configure
+from weirflow.llm.common import prepared, remainder, table, texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -20,7 +19,7 @@ def query(name: str, sql: str | None = None):
     def register(fn):
         @wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(configure(spark), sf_dir)
+            return fn(prepared(spark), sf_dir)
 
         QUERIES[name] = run
         if sql is not None:
