@@ -77,7 +77,7 @@ class Ftrl:
         return np.where(np.abs(z) <= self.l1, 0.0, -(z - np.sign(z) * self.l1) / ((self.beta + np.sqrt(n)) / self.alpha + self.l2))
 
     def learn(self, index: np.ndarray, value: np.ndarray, label: int) -> None:
-        index, value = np.append(index, DIM), np.append(value, 1.0)
+        index, value = np.append(index, DIM), np.append(value.astype(np.float64), 1.0)
         w = self.weights(index)
         p = softmax(w @ value)
         p[label] -= 1.0
@@ -149,7 +149,7 @@ def _vectorise(idf: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             made = [vector(ngram_counts(t), idf) for t in batch["text"]]
-            yield pd.DataFrame({"lang": batch["lang"], "order": batch["order"], "i": [m[0].astype(np.int32) for m in made], "v": [m[1].astype(np.float32) for m in made]})
+            yield pd.DataFrame({"lang": batch["lang"], "order": batch["order"], "i": [m[0].astype(np.int32).tobytes() for m in made], "v": [m[1].astype(np.float32).tobytes() for m in made]})
 
     return run
 
@@ -164,14 +164,15 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", id_column: st
     learn = docs.filter(usable).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(id_column), F.col(text)).alias("order"))
     df, rows = document_frequencies(learn)
     idf = np.log((1 + rows) / (1 + df)) + 1
-    share = learn.groupBy("lang").count().withColumn("share", F.least(F.lit(1.0), per_language / F.col("count"))).select("lang", "share")
+    counts = {r["lang"]: r["count"] for r in learn.groupBy("lang").count().collect()}  # as many as the model has rows
+    share = F.create_map(*(F.lit(x) for name, n in counts.items() for x in (name, min(1.0, per_language / n)))) if counts else F.create_map().cast("map<string,double>")
     chance = F.pmod(F.col("order"), F.lit(1 << 20)) / float(1 << 20)
-    drawn = learn.join(share, "lang").filter(chance < F.col("share")).select("lang", "text", "order")
-    found = drawn.mapInPandas(_vectorise(idf), "lang string, order bigint, i array<int>, v array<float>").collect()
+    drawn = learn.filter(chance < share[F.col("lang")])
+    found = drawn.mapInPandas(_vectorise(idf), "lang string, order bigint, i binary, v binary").collect()
     found.sort(key=lambda r: (r["order"] * 0x9E3779B97F4A7C15 % (1 << 64), r["lang"]))
     languages = tuple(sorted({r["lang"] for r in found}))
     label = {name: k for k, name in enumerate(languages)}
-    sparse = [(np.array(r["i"], dtype=np.int64), np.array(r["v"], dtype=np.float64), label[r["lang"]]) for r in found]
+    sparse = [(np.frombuffer(r["i"], np.int32), np.frombuffer(r["v"], np.float32), label[r["lang"]]) for r in found]
     kept_out, fitted = sparse[: len(sparse) // 8], sparse[len(sparse) // 8 :]
     model = Ftrl(len(languages))
     for _ in range(epochs if len(languages) > 1 else 0):
