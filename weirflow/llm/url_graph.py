@@ -61,6 +61,7 @@ def host_edges(pages: DataFrame, html: str) -> DataFrame:
     """(src, dst): distinct edges between different hosts; ``pages`` has ``host``."""
     targets = F.regexp_extract_all(F.coalesce(F.col(html), F.lit("")), F.lit(_LINK), F.lit(1))
     links = pages.select(F.col("host").alias("src"), F.explode(targets).alias("dst")).select("src", F.translate("dst", UPPER, LOWER).alias("dst")).distinct()
+    links = write_table(links, "url-hyperlinks")  # so that the pages' texts are searched once
     hosts = pages.select(F.col("host").alias("h")).union(links.select("dst")).distinct()
     above = F.regexp_replace("h", r"^[^.]*\.", "")
     kin = hosts.filter("h like '%.%.%'").select(F.col("h").alias("src"), above.alias("dst"))
