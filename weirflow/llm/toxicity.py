@@ -409,7 +409,7 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFram
     def strongest(column: pd.Series) -> pd.Series:
         scorer = _scorer(held.value.network, key)
         best = [logits.max() for group in groups(column.tolist()) for logits in scorer.logits(group)]
-        return pd.Series(held.value.probability(np.array(best, dtype=np.float64)))
+        return pd.Series(np.round(held.value.probability(np.array(best, dtype=np.float64)), 6))
 
     rest = without(docs, OUTPUT)
     scored = docs.select(*rest, strongest(texts(text)).alias("score"))
