@@ -39,7 +39,7 @@ LATER = (
     "1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 "
     "3D000-3FC3F"
 )
-KNOWN_WORDS = 150_000  # words of the younger half of what a worker keeps
+KNOWN_WORDS = 250_000  # words of the younger half of what a worker keeps
 KNOWN_PAIRS = 400_000  # pairs of tokens whose fit a worker keeps
 NEVER = 1 << 60  # the rank of pairs that do not merge
 LONG_WORD = 200  # longer words are not kept

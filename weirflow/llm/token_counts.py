@@ -28,7 +28,7 @@ from weirflow.llm.common import texts, travels, without, worker_store
 
 TOKEN_LIMIT = 1024
 # The words of the vocabulary's pattern, each with the white space before it.
-UNITS = r"(?:\s*[^\S ])?'(?:s|t|re|ve|m|ll|d)|\s*(?:\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+)|\s+"
+UNITS = r"\s*\p{L}+|(?:\s*[^\S ])?'(?:[stmd]|re|ve|ll)|\s*(?:\p{N}+|[^\s\p{L}\p{N}]+)|\s+"
 LATE = {"'re", "'ve", "'ll"}  # one letter short of these, the apostrophe is a word of its own
 _GROUP = 1 << 20  # characters whose units are looked up together
 _WHITE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]*")  # as in the pattern
@@ -129,23 +129,26 @@ class PrefixCounter:
         return np.diff(np.array(counts, dtype=np.int64), prepend=so_far).astype("<i2").tobytes()
 
     def batch(self, several: list[str]) -> list[bytes]:
-        """:meth:`changes` of each text; units of neighbouring texts are looked up together."""
-        group: set[str] = set()
-        size = 0
-        ahead = 0
-        out = []
-        for k, text in enumerate(several):
-            if k >= ahead:
-                group, size = set(), 0
-                while ahead < len(several) and size < _GROUP:
-                    if len(several[ahead]) <= _GROUP:
-                        for part, special in self.vocabulary.segments(several[ahead]):
-                            if special is None:
-                                group.update(self.units.findall(part))
-                    size += len(several[ahead])
-                    ahead += 1
-                self.lookup(group)
-            out.append(self.changes(text))
+        """:meth:`changes` of each text; the units of neighbouring texts are looked up together."""
+        out, group, size = [], [], 0
+
+        def close() -> None:
+            table = self.lookup({u for units in group for u in units})
+            out.extend(b"".join(map(table.__getitem__, units)) for units in group)
+            group.clear()
+
+        for text in several:
+            if len(text) > _GROUP or any(s in text for s in self.vocabulary.special):
+                close()
+                size = 0
+                out.append(self.changes(text))
+                continue
+            group.append(self.units.findall(text))
+            size += len(text)
+            if size > _GROUP:
+                close()
+                size = 0
+        close()
         self.recent.forget_long()
         return out
 
