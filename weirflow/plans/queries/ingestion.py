@@ -145,6 +145,48 @@ def schema_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.subjects(part_catalog(spark, sf_dir))
 
 
+@query(
+    "catalog_register",
+    sql(
+        _PATHS_SQL,
+        select="""
+    , c AS (SELECT subject, p_partkey + 1 AS version, p_partkey AS schema_id, '{"type":"' || p_type || '","size":' || p_size || '}' AS schema FROM subj),
+    f AS (SELECT * FROM c ORDER BY schema_id LIMIT 1)
+    SELECT f.subject, max(c.version) AS version, max(c.schema_id) AS schema_id, f.schema, false AS is_new FROM c JOIN f ON c.subject = f.subject AND c.schema = f.schema GROUP BY f.subject, f.schema
+    UNION ALL SELECT f.subject, (SELECT max(c.version) FROM c JOIN f ON c.subject = f.subject) + 1, (SELECT max(schema_id) FROM c) + 1, '{"type":"new"}', true FROM f""",
+    ),
+)
+def catalog_register(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registering a schema that its subject has, and one that it has not."""
+    known = part_catalog(spark, sf_dir)
+    first = known.orderBy("schema_id").first()
+    again = catalog.register(known, first["subject"], first["schema"])
+    return again.union(catalog.register(known, first["subject"], '{"type":"new"}'))
+
+
+_STRATEGY_NAMES = ("time_based", "Topic_Partition", "nobody", "")
+
+
+@query(
+    "partition_strategy",
+    sql(
+        UE,
+        select=" UNION ALL ".join(
+            f"SELECT '{n}' AS strategy, count(DISTINCT " + ("topic || strftime(ts, '/year=%Y/month=%m/day=%d/hour=%H')" if n == "time_based" else "topic || '/partition=' || partition") + ") AS keys, count(*) AS messages FROM ue"
+            for n in _STRATEGY_NAMES
+        ),
+    ),
+)
+def partition_strategy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Directories by the strategy of a name in any case; unknown names mean the default."""
+    messages = src.user_event_envelopes(spark, sf_dir)
+    one = lambda n: messages.agg(F.lit(n).alias("strategy"), F.countDistinct(keys.partition_key(n, AS_OF)).alias("keys"), F.count("*").alias("messages"))
+    first, *rest = map(one, _STRATEGY_NAMES)
+    for part in rest:
+        first = first.union(part)
+    return first
+
+
 _KEY_QUERY_SQL = {
     "DEFAULT": """SELECT partition, "offset", topic || '/partition=' || partition AS partition_key FROM ue""",
     "TIME_BASED": """SELECT partition, "offset", topic || strftime(ts, '/year=%Y/month=%m/day=%d/hour=%H') AS partition_key FROM ue""",
