@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import add_bitmap_test, key_bitmap, texts, without, write_table
+from weirflow.llm.common import add_bitmap_test, drop_rows, key_bitmap, texts, without, write_table
 
 PREFIX_CHARS = 64
 LENGTH_BITS = 1 << 20
@@ -71,4 +71,6 @@ def exact_groups(
 
 def drop_exact(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the copies that :func:`exact_groups` does not keep; same columns."""
-    return exact_groups(docs, id_column, text).filter("kept").select(*without(docs, OUTPUT))
+    marked = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"), F.xxhash64(texts(text)).alias("mark"))
+    losers = exact_groups(marked, "id", "text").filter("not kept").select("id", "mark")
+    return drop_rows(docs, losers, id_column, text)

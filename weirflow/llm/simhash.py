@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from weirflow.llm.common import texts, travels, without, write_table
+from weirflow.llm.common import drop_rows, texts, travels, write_table
 from weirflow.llm.components import components
 
 SEED = 42
@@ -117,5 +117,4 @@ def drop_near(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     """
     mark = F.xxhash64(texts(text))
     rows = _grouped(docs, id_column, text, [mark.alias("mark")])
-    losers = rows.filter("id <> component_id").select("id", "mark").distinct()
-    return docs.join(losers, (docs[id_column] == losers["id"]) & (mark == losers["mark"]), "left_anti").select(*without(docs, []))
+    return drop_rows(docs, rows.filter("id <> component_id").select("id", "mark"), id_column, text)
