@@ -25,6 +25,7 @@ ORDERS = (1, 2, 3)
 PER_LANGUAGE = 1200
 UNKNOWN = "und"
 OUTPUT = ["lang_pred", "score"]
+EVIDENCE = 0.5  # of the least evidence of a kept-out document: what a text in a known language must have
 _BLOCK = 1 << 20  # characters hashed at a time
 
 travels(__name__)
@@ -109,6 +110,7 @@ class LanguageModel:
     weights: np.ndarray
     bias: np.ndarray
     temperature: float
+    least: float = 0.0  # evidence that a text in one of the languages has
 
     def logits(self, index: np.ndarray, value: np.ndarray) -> np.ndarray:
         return self.weights[:, index] @ value + self.bias
@@ -120,6 +122,13 @@ class LanguageModel:
         best = int(p.argmax())
         return self.languages[best], float(p[best])
 
+    def knows(self, text: str | None) -> bool:
+        """Whether a text has a letter and the evidence (the largest logit, before the temperature) of a
+        text in one of the languages; without a learned language, whether it has a letter."""
+        if text is None or not any(map(str.isalpha, text)):
+            return False
+        return not self.languages or bool(self.logits(*vector(ngram_counts(text), self.idf)).max() >= self.least)
+
 
 def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     seen, rows = np.zeros(DIM, np.int64), 0
@@ -182,7 +191,8 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", id_column: st
     trained = LanguageModel(languages, idf, w[:, :DIM].copy(), w[:, DIM].copy(), 1.0)
     logits = np.array([trained.logits(i, v) for i, v, _ in kept_out])
     t = fit_temperature(logits, np.array([y for *_, y in kept_out], dtype=int)) if len(languages) > 1 else 1.0
-    return LanguageModel(languages, idf, trained.weights.astype(np.float32), trained.bias, t)
+    least = EVIDENCE * float(logits.max(axis=1).min()) if len(languages) > 1 and len(logits) else 0.0
+    return LanguageModel(languages, idf, trained.weights.astype(np.float32), trained.bias, t, max(0.0, least))
 
 
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
@@ -207,6 +217,18 @@ def learnable(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
 
 
 def drop_unknown(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """``docs`` without the texts that are in no language (null, or without a letter); same columns."""
+    """``docs`` without the texts that are in no language: null, without a letter, or with less than
+    ``EVIDENCE`` of the least evidence that the model has for any of the documents kept out of its
+    training; same columns.
+
+    The calibrated score cannot decide, since it is near one for noise too where the languages are far
+    apart.  If no language was learned (no labelled row), or one only, every text with a letter stays.
+    """
     model = train(learnable(docs, id_column), text, lang, id_column)
-    return identify(docs, model, text).filter(F.col("lang_pred") != UNKNOWN).select(*without(docs, OUTPUT))
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def knows(column: pd.Series) -> pd.Series:
+        return pd.Series([held.value.knows(t) for t in column], dtype=bool)
+
+    return docs.withColumn("_knows", knows(F.col(text))).filter("_knows").select(*docs.columns)
