@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import bpe, decontaminate, exact_dedup, langid, secrets, sharding, simhash, token_counts, toxicity, url_graph
+from weirflow.llm import bpe, decontaminate, exact_dedup, langid, minhash, negatives, runs, secrets, sharding, simhash, token_counts, toxicity, url_graph
 from weirflow.llm.common import prepared, remainder, table, texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,18 @@ def decontaminate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_secret_scan")
 def secret_scan_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
+@query("op11_minhash")
+def minhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_copies(table(spark, sf_dir, "documents"))
+
+
+@query("op12_hard_negatives")
+def hard_negatives_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mining_report(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_periodic_runs")
+def periodic_runs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_report(table(spark, sf_dir, "documents"))
