@@ -60,6 +60,6 @@ def test_near_copies_share_a_key():
 
 
 def test_empty_null_and_repeated_rows(spark):
-    left = corpus_pipeline.near(spark, docs_of(spark, [None, "", "a b", "a b", "c"], ids=[5, 4, 3, 3, None]), "")
-    assert sorted((repr(r.doc_id) for r in left.collect())) == ["3", "3", "4", "None"]
+    left = corpus_pipeline.near(spark, docs_of(spark, [None, "", "a b", "a b", "c", "c", "A b"], ids=[5, 4, 3, 3, None, None, None]), "")
+    assert sorted((repr(r.doc_id) for r in left.collect())) == ["3", "4", "None"]
     assert corpus_pipeline.near(spark, docs_of(spark, []), "").count() == 0

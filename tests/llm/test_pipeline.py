@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from compare import _plain, duck
 from helpers import Union
-from test_simhash import plain_fingerprint
+from test_near_stage import plain_set
 from tokenizers import Tokenizer
 from weirflow.llm import queries
 from weirflow.llm.bpe import FILE
@@ -25,11 +25,11 @@ def test_pipeline_equals_a_plain_one(spark):
     for i, t in left:
         keep[t] = max(keep[t], i)
     left = [(i, t) for i, t in left if keep[t] == i]
-    prints = {i: plain_fingerprint(t) for i, t in left}
+    sets = {i: plain_set(t) for i, t in left}
     union = Union()
-    for a in prints:
-        for b in prints:
-            if b < a and bin(prints[a] ^ prints[b]).count("1") <= 2:
+    for a in sets:
+        for b in sets:
+            if b < a and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
                 union.join(a, b)
     left = [(i, t) for i, t in left if union.find(i) == i]
     # The planted items stand in documents as they are.
@@ -63,7 +63,7 @@ def test_query(spark, name):
         return
     n = rows.count()
     assert n > 0
-    per_document = {"op4_sharding", "op5_bpe", "op6_toxicity", "op7_language_id", "op8_simhash", "op9_token_counts"}
+    per_document = {"op4_sharding", "op5_bpe", "op6_toxicity", "op7_language_id", "op8_simhash", "op9_token_counts", "op11_minhash", "op13_periodic_runs"}
     if name in per_document:
         assert n == spark.read.parquet(f"{SF}/documents.parquet").count()
     if name == "op2_url_filter":

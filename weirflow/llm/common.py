@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
 import types
+import uuid
+from collections.abc import Callable
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +26,22 @@ def worker_store(name: str) -> dict:
     return holder.__dict__.setdefault(name, {})
 
 
+def sent(spark: SparkSession, thing: object) -> Callable[[], object]:
+    """``thing`` as a broadcast that brings the code of its class along; what is returned gives it back
+    in a task.  A worker unpacks it once and holds the last ones that it met."""
+    held, name = spark.sparkContext.broadcast(cloudpickle.dumps(thing)), uuid.uuid4().hex
+
+    def received() -> object:
+        store = worker_store("things")
+        if name not in store:
+            while len(store) > 1:
+                store.pop(next(iter(store)))
+            store[name] = pickle.loads(held.value)
+        return store[name]
+
+    return received
+
+
 travels(__name__)
 
 
@@ -56,6 +75,12 @@ def without(df: DataFrame, names: list[str]) -> list[str]:
     return [c for c in df.columns if c.lower() not in taken]
 
 
+def own_prefix(*tables: DataFrame) -> str:
+    """A beginning that no column of ``tables`` has, for the names of helper columns."""
+    names = [c for t in tables for c in t.columns]
+    return "_" * (1 + max((len(c) - len(c.lstrip("_")) for c in names), default=0))
+
+
 def texts(column: str) -> Column:
     """A text column with null as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
@@ -86,29 +111,43 @@ def key_bitmap(keys: DataFrame, key: Column, bits: int, name: str) -> DataFrame:
 def add_bitmap_test(df: DataFrame, key: Column, bits: int, bitmap: DataFrame, out: str) -> DataFrame:
     """Add boolean ``out``: whether the bit of ``key`` is set.  The bitmap's size is bounded, so it is
     broadcast; the rows do not move."""
+    p = own_prefix(df)
     spot = F.pmod(F.xxhash64(key), F.lit(bits)) + 1
     place = F.bitmap_bit_position(spot)
-    byte = F.conv(F.hex(F.substring(F.col("_map"), (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col(f"{p}map"), (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     bit = F.pmod(F.floor(byte / F.pow(F.lit(2), place % 8)), F.lit(2))
-    placed = df.withColumn("_spot", F.bitmap_bucket_number(spot))
-    joined = placed.join(F.broadcast(bitmap.withColumnRenamed("_bucket", "_spot")), "_spot", "left")
-    return joined.withColumn(out, F.coalesce(bit == 1, F.lit(False))).drop("_spot", "_map")
+    placed = df.withColumn(f"{p}spot", F.bitmap_bucket_number(spot))
+    joined = placed.join(F.broadcast(bitmap.toDF(f"{p}spot", f"{p}map")), f"{p}spot", "left")
+    return joined.withColumn(out, F.coalesce(bit == 1, F.lit(False))).drop(f"{p}spot", f"{p}map")
 
 
 DROP_BITS = 1 << 25
 
 
-def drop_rows(docs: DataFrame, losers: DataFrame, id_column: str, text: str, bits: int = DROP_BITS) -> DataFrame:
-    """``docs`` without the rows that ``losers`` names by (id, mark), mark being xxhash64 of the text;
-    null ids are compared too.
+def drop_rows(docs: DataFrame, losers: DataFrame, repeats: DataFrame, id_column: str, text: str, bits: int = DROP_BITS) -> DataFrame:
+    """``docs`` without the rows that ``losers`` names by (id, mark), mark being xxhash64 of the text, and
+    with one row each of those that ``repeats`` names; null ids are compared too.
 
     A bitmap of bounded size tells most rows that stay from the others, and they stay where they are;
     only rows whose bit is set are joined, so the texts that move are those that go, and a few more.
+    Of rows that repeat an id and text the one whose columns have the least hash stays.
     """
-    named = write_table(losers.select(F.col("id").alias("_id"), F.col("mark").alias("_mark")).distinct(), "losers")
-    bitmap = key_bitmap(named, F.struct("_id", "_mark"), bits, "losers-bitmap")
-    marked = docs.withColumns({"_id": F.col(id_column), "_mark": F.xxhash64(texts(text))})
-    tested = add_bitmap_test(marked, F.struct("_id", "_mark"), bits, bitmap, "_maybe")
-    same = F.col("a._id").eqNullSafe(F.col("b._id")) & (F.col("a._mark") == F.col("b._mark"))
-    doubtful = tested.filter("_maybe").alias("a").join(named.alias("b"), same, "left_anti")
-    return tested.filter("not _maybe").select(*docs.columns).union(doubtful.select(*docs.columns))
+    p = own_prefix(docs)
+    i, m, gone, maybe = f"{p}id", f"{p}mark", f"{p}gone", f"{p}maybe"
+    listed = losers.select("id", "mark", F.lit(True).alias(gone)).union(repeats.select("id", "mark", F.lit(False)))
+    named = write_table(listed.toDF(i, m, gone).groupBy(i, m).agg(F.max(gone).alias(gone)), "losers")
+    bitmap = key_bitmap(named, F.struct(i, m), bits, "losers-bitmap")
+    marked = docs.withColumns({i: F.col(id_column), m: F.xxhash64(texts(text))})
+    tested = add_bitmap_test(marked, F.struct(i, m), bits, bitmap, maybe)
+    same = F.col(f"a.{i}").eqNullSafe(F.col(f"b.{i}")) & (F.col(f"a.{m}") == F.col(f"b.{m}"))
+    doubtful = tested.filter(maybe).alias("a").join(named.alias("b"), same, "left").select("a.*", f"b.{gone}")
+    alone = doubtful.filter(F.col(gone).isNull()).select(*docs.columns)
+    comparable = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    row = F.min_by(F.struct(*docs.columns), F.xxhash64(*comparable)).alias(f"{p}row")
+    one = doubtful.filter(~F.col(gone)).groupBy(i, m).agg(row).select(f"{p}row.*")
+    return tested.filter(~F.col(maybe)).select(*docs.columns).union(alone).union(one)
+
+
+def repeated(rows: DataFrame) -> DataFrame:
+    """(id, mark) that ``rows`` has more than once."""
+    return rows.groupBy("id", "mark").agg(F.count("*").alias("n")).filter("n > 1").select("id", "mark")

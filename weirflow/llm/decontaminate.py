@@ -8,8 +8,10 @@ unit's own score, so a passage that holds a unit scores 1 whatever its length, a
 maxima of blocks of units to skip what cannot reach the threshold.  The block maxima are first summed
 for all passages of a document at once, the frequent terms by what they can give a block at most;
 only passages with a block that may reach the threshold are walked by cursors.  What is retrieved is
-verified: five-word shingles of the item's question and of its answer must be there, each to
-``OVERLAP``.
+verified: the item's question and its answer must be there, each to ``OVERLAP``; an item without an answer
+of its own must be there as a whole to ``OVERLAP``.  The overlap of a part is the share of its five-word
+shingles that are there, of a part of less than ``SHORT`` words the share that is left after the
+fewest edits (words replaced, added or left out) that turn the part into a stretch of the passage.
 
 The index is built from tables: term statistics cover all items, and the items are dealt into shards
 of bounded size, so that what is broadcast at a time does not grow with the benchmark.
@@ -29,11 +31,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import texts, travels, without, write_table
+from weirflow.llm.common import own_prefix, sent, texts, travels, write_table
 
 UNIT = 48
 THRESHOLD = 0.6
 SHINGLE = 5
+SHORT = 30  # words below which a part is compared by edits, since one edit breaks up to five shingles
 OVERLAP = 0.8
 K1, B = 1.2, 0.75
 BLOCK = 4  # units of a block
@@ -71,13 +74,44 @@ def shingles(ids: list[int], size: int) -> set[tuple[int, ...]]:
     return set(zip(*(ids[k:] for k in range(size))))
 
 
+def near_share(part: list[int], around: list[int]) -> float:
+    """1 - edits / length for the stretch of ``around`` that is fewest word edits away from ``part``: one
+    line of the edit table at a time, as differences in the bits of two numbers."""
+    n = len(part)
+    at: dict[int, int] = {}
+    for k, word in enumerate(part):
+        at[word] = at.get(word, 0) | 1 << k
+    whole, top = (1 << n) - 1, 1 << (n - 1)
+    plus, minus, edits = whole, 0, n
+    best = edits
+    for word in around:
+        equal = at.get(word, 0)
+        zero = (((equal & plus) + plus) ^ plus) | equal | minus
+        more, less = minus | ~(zero | plus) & whole, plus & zero
+        edits += ((more & top) != 0) - ((less & top) != 0)
+        more, less = more << 1 & whole, less << 1 & whole  # a stretch may begin anywhere
+        plus, minus = less | ~(zero | more) & whole, more & zero
+        best = min(best, edits)
+    return 1 - best / n
+
+
+def overlap(part: tuple[list[int], set[tuple[int, ...]]], around: list[int], sets: dict[int, set]) -> float:
+    """How much of a part (its words and shingles) the words ``around`` hold; ``sets`` keeps their shingles by size."""
+    words, own = part
+    if len(words) < SHORT:
+        return near_share(words, around)
+    if SHINGLE not in sets:
+        sets[SHINGLE] = shingles(around, SHINGLE)
+    return len(own & sets[SHINGLE]) / len(own)
+
+
 @dataclass
 class Index:
     """Postings of the units of some items, with the bounds that WAND needs."""
 
     item_ids: list
     item_words: list[int]
-    parts: list[list[tuple[int, set[tuple[int, ...]]]]]  # per item: shingle size and shingles of question, answer
+    parts: list[list[tuple[list[int], set[tuple[int, ...]]]]]  # per item: words and shingles of question, answer and, without an answer column, the whole
     unit_item: list[int]
     terms: dict[str, int]
     postings: list[list[int]]
@@ -103,9 +137,9 @@ class Index:
             if not whole:
                 continue
             own = []
-            for part in (question, reply):
+            for part in (question, reply) if answer is not None and words_of(answer) else (question, reply, whole):
                 numbers = [terms.setdefault(w, len(terms)) for w in part]
-                own.append((min(SHINGLE, len(numbers)), shingles(numbers, min(SHINGLE, len(numbers)))))
+                own.append((numbers, shingles(numbers, SHINGLE)))
             for unit in units_of(whole):
                 count = Counter(unit)
                 length = K1 * (1 - B + B * len(unit) / mean_length)
@@ -239,9 +273,10 @@ class Index:
                 best[item] = max(best.get(item, 0.0), score)
             for item, score in best.items():
                 around = ids[max(0, start - self.item_words[item]) : stop + self.item_words[item]].tolist()
-                overlaps = [len(own & shingles(around, size)) / len(own) for size, own in self.parts[item]]
-                if min(overlaps) >= OVERLAP:
-                    found[item] = max(found.get(item, (0.0,)), (score, *overlaps))
+                sets: dict[int, set] = {}
+                overlaps = [overlap(part, around, sets) if part[0] else 1.0 for part in self.parts[item]]
+                if min(overlaps[2:] or overlaps) >= OVERLAP - 1e-9:
+                    found[item] = max(found.get(item, (0.0,)), (score, *overlaps[:2]))
         return [(self.item_ids[item], *values) for item, values in sorted(found.items())]
 
 
@@ -276,12 +311,12 @@ def indexes(items: DataFrame, item_id: str = "item_id", text: str = "text", answ
 
 
 def _found(docs: DataFrame, index: Index, text: str, kind: str) -> Column:
-    held = docs.sparkSession.sparkContext.broadcast(index)
+    held = sent(docs.sparkSession, index)
 
     @F.pandas_udf(f"array<struct<item_id:{kind},score:double,question_overlap:double,answer_overlap:double>>")
     def find(column: pd.Series) -> pd.Series:
         names = ("item_id", "score", "question_overlap", "answer_overlap")
-        return pd.Series([[dict(zip(names, m)) for m in held.value.matches(t)] for t in column])
+        return pd.Series([[dict(zip(names, m)) for m in held().matches(t)] for t in column])
 
     return find(texts(text))
 
@@ -297,7 +332,7 @@ def contaminated(
     """
     kind = items.schema[item_id].dataType.simpleString()
     parts = [
-        docs.select(F.col(id_column), F.explode(_found(docs, index, text, kind)).alias("_m")).select(id_column, "_m.*")
+        docs.select(F.col(id_column).alias("id"), F.explode(_found(docs, index, text, kind)).alias("m")).select(F.col("id").alias(id_column), "m.*")
         for index in indexes(items, item_id, item_text, answer, shard_bytes)
     ]
     if not parts:
@@ -317,5 +352,6 @@ def drop_contaminated(
     left = docs
     for k, index in enumerate(indexes(items, item_id, item_text, answer, shard_bytes)):
         source = write_table(left, "decontaminated") if k else left
-        left = source.withColumn("_found", _found(source, index, text, kind)).filter(F.size("_found") == 0).select(*without(docs, []))
+        found = f"{own_prefix(docs)}found"
+        left = source.withColumn(found, _found(source, index, text, kind)).filter(F.size(found) == 0).select(*docs.columns)
     return left

@@ -12,29 +12,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import add_bitmap_test, drop_rows, key_bitmap, texts, without, write_table
+from weirflow.llm.common import add_bitmap_test, drop_rows, key_bitmap, own_prefix, repeated, texts, without, write_table
 
 PREFIX_CHARS = 64
 LENGTH_BITS = 1 << 20
 PREFIX_BITS = 1 << 25
 OUTPUT = ["keep_id", "group_size", "kept"]
-KEY = ["_length", "_prefix", "_full"]
 
 
-def _keyed(docs: DataFrame, text: str, prefix_chars: int, length_bits: int, prefix_bits: int) -> DataFrame:
-    """``docs`` with (_length, _prefix, _full); ``_full`` is null where a text is known to be unique."""
-    measured = docs.withColumn("_length", F.octet_length(texts(text)).cast("bigint")).withColumn("_prefix", F.xxhash64(F.substring(texts(text), 1, prefix_chars)))
+def _keyed(docs: DataFrame, text: str, p: str, prefix_chars: int, length_bits: int, prefix_bits: int) -> DataFrame:
+    """``docs`` with the keys length, prefix and full, named with ``p``; full is null where a text is known to be unique."""
+    length, prefix, n = f"{p}length", f"{p}prefix", f"{p}n"
+    measured = docs.withColumns({length: F.octet_length(texts(text)).cast("bigint"), prefix: F.xxhash64(F.substring(texts(text), 1, prefix_chars))})
 
     def crowded(rows: DataFrame, *key: str) -> DataFrame:
-        return rows.groupBy(*key).agg(F.count("*").alias("_n")).filter("_n > 1")
+        return rows.groupBy(*key).agg(F.count("*").alias(n)).filter(F.col(n) > 1)
 
-    lengths = key_bitmap(crowded(measured, "_length"), F.col("_length"), length_bits, "dedup-lengths")
-    by_length = add_bitmap_test(measured, F.col("_length"), length_bits, lengths, "_crowded")
-    spot = F.struct("_length", "_prefix")
-    prefixes = key_bitmap(crowded(by_length.filter("_crowded"), "_length", "_prefix"), spot, prefix_bits, "dedup-prefixes")
-    by_prefix = add_bitmap_test(by_length, spot, prefix_bits, prefixes, "_doubtful")
-    full = F.when(F.col("_crowded") & F.col("_doubtful"), F.sha2(texts(text), 256))
-    return by_prefix.withColumn("_full", full).drop("_crowded", "_doubtful")
+    lengths = key_bitmap(crowded(measured, length), F.col(length), length_bits, "dedup-lengths")
+    by_length = add_bitmap_test(measured, F.col(length), length_bits, lengths, f"{p}crowded")
+    spot = F.struct(length, prefix)
+    prefixes = key_bitmap(crowded(by_length.filter(f"{p}crowded"), length, prefix), spot, prefix_bits, "dedup-prefixes")
+    by_prefix = add_bitmap_test(by_length, spot, prefix_bits, prefixes, f"{p}doubtful")
+    full = F.when(F.col(f"{p}crowded") & F.col(f"{p}doubtful"), F.sha2(texts(text), 256))
+    return by_prefix.withColumn(f"{p}full", full).drop(f"{p}crowded", f"{p}doubtful")
 
 
 def exact_groups(
@@ -48,29 +48,35 @@ def exact_groups(
     one id counts twice and is kept twice.  An empty table gives an empty table.  Select only what is
     needed from the result: columns that nobody reads, texts too, are not moved.
     """
-    source = docs.select(*without(docs, [*OUTPUT, *KEY]))
-    keyed = _keyed(source, text, prefix_chars, length_bits, prefix_bits)
+    source = docs.select(*without(docs, OUTPUT))
+    p = own_prefix(source)
+    key = [f"{p}length", f"{p}prefix", f"{p}full"]
+    keyed = _keyed(source, text, p, prefix_chars, length_bits, prefix_bits)
     found = (
-        keyed.filter(F.col("_full").isNotNull())
-        .groupBy(*KEY)
-        .agg(F.max(id_column).alias("_keep"), F.count("*").alias("_n"))
-        .filter("_n > 1")
-        .select(*KEY, "_keep", "_n")
+        keyed.filter(F.col(f"{p}full").isNotNull())
+        .groupBy(*key)
+        .agg(F.max(id_column).alias(f"{p}keep"), F.count("*").alias(f"{p}n"))
+        .filter(F.col(f"{p}n") > 1)
+        .select(*key, f"{p}keep", f"{p}n")
     )
     groups = write_table(found, "dedup-groups")  # so that the join has its own shuffle, which Spark can split at a hot group
-    alone = F.col("_n").isNull()
-    keep = F.when(alone, F.col(id_column)).otherwise(F.col("_keep"))
+    alone = F.col(f"{p}n").isNull()
+    keep = F.when(alone, F.col(id_column)).otherwise(F.col(f"{p}keep"))
     return (
-        keyed.join(groups, KEY, "left")
+        keyed.join(groups, key, "left")
         .withColumn("keep_id", keep)
-        .withColumn("group_size", F.coalesce("_n", F.lit(1)).cast("bigint"))
+        .withColumn("group_size", F.coalesce(f"{p}n", F.lit(1)).cast("bigint"))
         .withColumn("kept", F.col(id_column).eqNullSafe(F.col("keep_id")))
         .select(*source.columns, *OUTPUT)
     )
 
 
 def drop_exact(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the copies that :func:`exact_groups` does not keep; same columns."""
+    """``docs`` with one row of each group of equal texts; same columns.
+
+    It is a row with the id that :func:`exact_groups` keeps.  If several rows have it, or if no row of
+    the group has an id, the one of them whose columns have the least hash stays.
+    """
     marked = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"), F.xxhash64(texts(text)).alias("mark"))
-    losers = exact_groups(marked, "id", "text").filter("not kept").select("id", "mark")
-    return drop_rows(docs, losers, id_column, text)
+    groups = write_table(exact_groups(marked, "id", "text").filter("group_size > 1").select("id", "mark", "kept"), "dedup-crowded")
+    return drop_rows(docs, groups.filter("not kept"), repeated(groups.filter("kept")), id_column, text)

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import remainder, texts, travels, without
+from weirflow.llm.common import own_prefix, remainder, sent, travels, without
 
 DIM = 1 << 15
 ORDERS = (1, 2, 3)
@@ -94,13 +94,31 @@ def softmax(logits: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The temperature with the least log loss; 1 without rows to fit it on."""
-    if not len(labels):
+def fit_temperature(logits: np.ndarray, labels: np.ndarray, rounds: int = 80) -> float:
+    """The temperature with the least log loss against smoothed labels; 1 without rows to fit it on.
+
+    Rows without an error would make the least temperature the best one.  So a label counts only as
+    1 - e, and e is spread over the other languages, e being (errors + 1) / (rows + 2), the chance of an
+    error of which the rows give evidence.  The loss is convex in 1 / temperature and grows without
+    bound on both sides, so its minimum lies inside; golden sections find it between 1e-4 and 1e4.
+    """
+    n, k = logits.shape if len(labels) else (0, 0)
+    if not n or k < 2:
         return 1.0
-    grid = np.geomspace(0.02, 10, 120)
-    loss = [-np.log(softmax(logits / t)[np.arange(len(labels)), labels] + 1e-12).mean() for t in grid]
-    return float(grid[int(np.argmin(loss))])
+    wrong = ((logits.argmax(axis=1) != labels).sum() + 1) / (n + 2)
+    target = np.full((n, k), wrong / (k - 1))
+    target[np.arange(n), labels] = 1 - wrong
+
+    def loss(log_t: float) -> float:
+        scaled = logits / np.exp(log_t)
+        top = scaled.max(axis=1, keepdims=True)
+        return float((np.log(np.exp(scaled - top).sum(axis=1)) + top[:, 0] - (target * scaled).sum(axis=1)).mean())
+
+    low, high, ratio = np.log(1e-4), np.log(1e4), (np.sqrt(5) - 1) / 2
+    for _ in range(rounds):
+        a, b = high - ratio * (high - low), low + ratio * (high - low)
+        low, high = (low, b) if loss(a) <= loss(b) else (a, high)
+    return float(np.exp((low + high) / 2))
 
 
 @dataclass(frozen=True)
@@ -201,14 +219,14 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
     Null, empty and letterless texts are ``und`` with score 0, as is everything if the model knows no
     language.  Other columns pass through and are never looked at.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = sent(docs.sparkSession, model)
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(column: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([held.value.predict(t) for t in column], columns=["lang_pred", "score"])
+        return pd.DataFrame([held().predict(t) for t in column], columns=["lang_pred", "score"])
 
-    rest = without(docs, OUTPUT)
-    return docs.withColumn("_found", predict(F.col(text))).select(*rest, "_found.lang_pred", "_found.score")
+    found = f"{own_prefix(docs)}found"
+    return docs.withColumn(found, predict(F.col(text))).select(*without(docs, OUTPUT), f"{found}.lang_pred", f"{found}.score")
 
 
 def learnable(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
@@ -225,10 +243,11 @@ def drop_unknown(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     apart.  If no language was learned (no labelled row), or one only, every text with a letter stays.
     """
     model = train(learnable(docs, id_column), text, lang, id_column)
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = sent(docs.sparkSession, model)
 
     @F.pandas_udf("boolean")
     def knows(column: pd.Series) -> pd.Series:
-        return pd.Series([held.value.knows(t) for t in column], dtype=bool)
+        return pd.Series([held().knows(t) for t in column], dtype=bool)
 
-    return docs.withColumn("_knows", knows(F.col(text))).filter("_knows").select(*docs.columns)
+    known = f"{own_prefix(docs)}known"
+    return docs.withColumn(known, knows(F.col(text))).filter(F.col(known)).select(*docs.columns)

@@ -40,7 +40,8 @@ ISSUED = r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[0-9A-Za-z]{36}$|^xox[abprs]-|^s
 ASSIGNED = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth(orization)?|credential)[\w\-]*[\"']?\s*(=|:=|:|=>)\s*((bearer|basic)\s+)?[\"']?$"
 SENSITIVE = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|key|auth|credential|login)"
 PUBLIC = r"(?i)(commit|sha-?\d*|md5|hash|digest|checksum|uuid|guid|isbn|iban|card|phone|order|invoice|version|revision)"
-FOLDERS = r"^/?(?:(?:[A-Za-z]?[a-z_\-]+\d{0,4}|\d{1,4})/){2,}|^/(?:[A-Za-z]?[a-z_\-]+\d{0,4}|\d{1,4})/"
+_FOLDER = r"(?:[A-Za-z]?[a-z_\-]+\d{0,4}|\d{1,4})/"
+FOLDERS = f"^/?{_FOLDER}{_FOLDER}|^/{_FOLDER}"  # two folders tell a path; a repeated group would take a stack frame for each
 FEATURES = ("length", "transitions", "digits", "upper", "distinct", "coverage", "hex", "path", "assigned", "sensitive", "public", "quoted")
 TREES, DEPTH, BINS = 8, 4, 16
 SAMPLE = 20_000  # expected labelled findings that the forest is grown on

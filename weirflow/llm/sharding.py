@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import texts, without
+from weirflow.llm.common import own_prefix, texts, without
 
 SHARDS = 40
 VIRTUAL = 16
@@ -86,16 +86,18 @@ def assign(docs: DataFrame, shards: int = SHARDS, id_column: str = "doc_id", tex
     source = docs.select(*without(docs, OUTPUT))
     key = F.xxhash64(F.coalesce(F.col(id_column).cast("string"), F.lit("")))
     content = F.xxhash64(texts(text), F.coalesce(F.col(id_column).cast("string"), F.lit("")))
-    placed = source.withColumns({"_bin": F.shiftrightunsigned(key, 50).cast("int"), "_order": content, "_part": F.pmod(content, F.lit(PARTS)).cast("int")})
-    cells = [tuple(r) for r in placed.groupBy("_bin", "_part").count().collect()]  # at most BINS * PARTS rows
-    pieces = pd.DataFrame(place(cells, shards, slack, virtual), columns=["_bin", "_part", "_from", "_to", "shard", "_slot"])
-    table = docs.sparkSession.createDataFrame(pieces, "_bin int, _part int, _from bigint, _to bigint, shard int, _slot bigint")
-    inside = Window.partitionBy("_bin", "_part").orderBy("_order", id_column)
-    ranked = placed.withColumn("_rank", F.row_number().over(inside).cast("bigint"))
-    here = F.col("_rank").between(F.col("_from"), F.col("_to"))
+    p = own_prefix(source)
+    cell = [f"{p}bin", f"{p}part"]
+    placed = source.withColumns({cell[0]: F.shiftrightunsigned(key, 50).cast("int"), f"{p}order": content, cell[1]: F.pmod(content, F.lit(PARTS)).cast("int")})
+    cells = [tuple(r) for r in placed.groupBy(*cell).count().collect()]  # at most BINS * PARTS rows
+    pieces = pd.DataFrame(place(cells, shards, slack, virtual), columns=[*cell, f"{p}from", f"{p}to", "shard", f"{p}slot"])
+    table = docs.sparkSession.createDataFrame(pieces, f"{p}bin int, {p}part int, {p}from bigint, {p}to bigint, shard int, {p}slot bigint")
+    inside = Window.partitionBy(*cell).orderBy(f"{p}order", id_column)
+    ranked = placed.withColumn(f"{p}rank", F.row_number().over(inside).cast("bigint"))
+    here = F.col(f"{p}rank").between(F.col(f"{p}from"), F.col(f"{p}to"))
     # At most BINS * PARTS + shards rows of 40 bytes: small enough to broadcast at any size of input.
-    joined = ranked.join(F.broadcast(table), ["_bin", "_part"]).filter(here)
-    return joined.withColumn("slot", F.col("_slot") + F.col("_rank") - F.col("_from")).select(*source.columns, *OUTPUT)
+    joined = ranked.join(F.broadcast(table), cell).filter(here)
+    return joined.withColumn("slot", F.col(f"{p}slot") + F.col(f"{p}rank") - F.col(f"{p}from")).select(*source.columns, *OUTPUT)
 
 
 def shard_report(docs: DataFrame, shards: int = SHARDS, id_column: str = "doc_id", text: str = "text") -> DataFrame:

@@ -13,22 +13,24 @@ one bucket.  An entry with a deleted bit is joined only to entries with the othe
 Every pair found is verified on the whole fingerprint.  Copies share a fingerprint and enter once.
 
 For a stage that is to reach a Jaccard similarity no radius of this kind is enough (pairs of 0.8 lie up
-to 17 bits apart), so :func:`similar_links` finds its candidates by MinHash: ``BANDS`` keys of ``ROWS``
-minima, of which a pair of similarity j shares at least one with the chance 1 - (1 - j^5)^32, at 0.8 all
-but 3 in a million.  Each candidate is verified by the exact Jaccard similarity of the shingle sets.
+to 17 bits apart), so it finds its candidates by MinHash, ``BANDS`` keys of ``ROWS`` minima, and
+:mod:`setlinks` turns them into links that are checked on the full sets of shingles.
 """
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from weirflow.llm.common import DROP_BITS, add_bitmap_test, drop_rows, key_bitmap, texts, travels, write_table
+from weirflow.llm.common import drop_rows, repeated, texts, travels, write_table
 from weirflow.llm.components import components
+from weirflow.llm.setlinks import odd_sketch, set_links, set_print, shingle_set
 
 SEED = 42
 SHINGLE = 3
@@ -102,7 +104,7 @@ def _grouped(docs: DataFrame, id_column: str, text: str, extra: list[Column]) ->
     roots = components(write_table(links(prints), "simhash-links")).toDF("fp", "root")
     rooted = prints.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.join(rooted.join(named, "root").select("fp", "component_id"), "fp")
+    return rows.join(rooted.join(named, "root").select("fp", "root", "component_id"), "fp")
 
 
 def near_groups(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -120,15 +122,6 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
 # --- groups by Jaccard similarity -----------------------------------------------------------------
 
 
-def shingle_set(text: str, shingle: int, seed: int = SEED) -> np.ndarray:
-    """The sorted distinct hashes of the word shingles of one whole text; words as in :func:`fingerprint`."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    size, digest = min(shingle, len(words)), xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(b" ".join(words[k : k + size]), seed) for k in range(len(words) - size + 1)], dtype=np.uint64))
-
-
 def bands(own: np.ndarray) -> np.ndarray:
     """The ``BANDS`` MinHash keys of a set of hashes, as signed numbers; of an empty set, none."""
     if not len(own):
@@ -143,86 +136,44 @@ def bands(own: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _sketches(text: str, shingle: int) -> Column:
-    @F.pandas_udf("fp long, bands array<long>")
-    def sketch(column: pd.Series) -> pd.DataFrame:
-        sets = [shingle_set(t, shingle) for t in column]
-        prints = np.array([xxhash.xxh64_intdigest(own.tobytes(), SEED) for own in sets], dtype=np.uint64).view(np.int64)
-        return pd.DataFrame({"fp": prints, "bands": [bands(own) for own in sets]})
-
-    return sketch(texts(text))
-
-
-def _shingles(text: str, shingle: int) -> Column:
-    @F.pandas_udf("array<long>")
-    def run(column: pd.Series) -> pd.Series:
-        return pd.Series([shingle_set(t, shingle).view(np.int64) for t in column])
+_SKETCH = StructType([StructField("fp", BinaryType()), StructField("n", LongType()), StructField("odd", ArrayType(LongType())), StructField("keys", ArrayType(LongType()))])
 
-    return run(texts(text))
 
-
-def _verified(docs: DataFrame, text: str, marks: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The (hi, lo) of ``pairs`` whose shingle sets have the Jaccard similarity; ``marks`` is (fp, mark),
-    a text of each set.  Only the sets of texts in a pair are made and moved."""
-    pairs = write_table(pairs.select("hi", "lo").distinct(), "simhash-pairs")
-    needed = write_table(pairs.select(F.col("hi").alias("fp")).union(pairs.select("lo")).distinct().join(marks, "fp"), "simhash-needed")
-    bitmap = key_bitmap(needed, F.col("mark"), DROP_BITS, "simhash-needed-bitmap")
-    tested = add_bitmap_test(docs.select(F.col(text).alias("text"), F.xxhash64(texts(text)).alias("mark")), F.col("mark"), DROP_BITS, bitmap, "_maybe")
-    texts_of = tested.filter("_maybe").join(needed, "mark").groupBy("fp").agg(F.min("text").alias("text"))
-    sets = write_table(texts_of.select("fp", _shingles("text", shingle).alias("own")), "simhash-sets")
-    both = pairs.join(sets.toDF("hi", "x"), "hi").join(sets.toDF("lo", "y"), "lo")
-    common = F.size(F.array_intersect("x", "y"))
-    alike = common >= similarity * (F.size("x") + F.size("y") - common) - 1e-9
-    return write_table(both.filter(alike).select("hi", "lo"), "simhash-links")
-
-
-def similar_links(docs: DataFrame, text: str, sets: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Links (hi, lo) with the same components as all candidate pairs of the Jaccard similarity.
-
-    ``sets`` is (fp, mark, bands), one row for each distinct shingle set.  First each member of a
-    bucket is compared with the bucket's least one, so a group of near copies makes links by its size
-    and not by its square.  Then members of one bucket that are still in different components are
-    compared too, all of them.
-    """
-    marks = sets.select("fp", "mark")
-    entries = sets.select("fp", F.explode("bands").alias("key"))
-    leaders = entries.groupBy("key").agg(F.min("fp").alias("lo"), F.count("*").alias("n")).filter("n > 1")
-    members = write_table(entries.join(leaders, "key"), "simhash-buckets")
-    first = _verified(docs, text, marks, members.filter("fp > lo").select(F.col("fp").alias("hi"), "lo"), shingle, similarity)
-    roots = components(first).toDF("fp", "root")
-    left = members.filter("n > 2 and fp <> lo").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")).select("key", "fp", "root")
-    left = write_table(left, "simhash-left")
-    parts = left.select("key", "root").distinct()
-    apart = parts.toDF("key", "r1").join(parts.toDF("key", "r2"), "key").filter("r1 < r2")
-    across = apart.join(left.toDF("key", "a", "r1"), ["key", "r1"]).join(left.toDF("key", "b", "r2"), ["key", "r2"])
-    across = across.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
-    return first.union(_verified(docs, text, marks, across, shingle, similarity))
+@F.pandas_udf(_SKETCH)
+def _sketches(column: pd.Series, sizes: pd.Series) -> pd.DataFrame:
+    sets = (shingle_set(text, size) for text, size in zip(column, sizes))
+    return pd.DataFrame([(set_print(own), len(own), odd_sketch(own), bands(own)) for own in sets], columns=["fp", "n", "odd", "keys"])
 
 
 def _similar(docs: DataFrame, id_column: str, text: str, shingle: int, similarity: float) -> DataFrame:
-    """(id, mark, component_id) of all rows; texts without a word are one group."""
-    sketched = docs.select(F.col(id_column).alias("id"), F.xxhash64(texts(text)).alias("mark"), _sketches(text, shingle).alias("s"))
+    """(id, mark, fp, root) of all rows, fp naming their set and root the component; texts without a word
+    are one group."""
+    share = Fraction(similarity).limit_denominator(1000)
+    sketched = docs.select(F.col(id_column).alias("id"), F.xxhash64(texts(text)).alias("mark"), _sketches(texts(text), F.lit(shingle)).alias("s"))
     rows = write_table(sketched.select("id", "mark", "s.*"), "simhash-rows")
-    prints = write_table(rows.groupBy("fp").agg(F.min("id").alias("least"), F.min("mark").alias("mark")), "simhash-prints")
-    sets = rows.select("fp", "mark", "bands").join(prints.select("fp", "mark"), ["fp", "mark"], "left_semi").dropDuplicates(["fp"])
-    roots = components(similar_links(docs, text, write_table(sets, "simhash-distinct"), shingle, similarity)).toDF("fp", "root")
-    rooted = prints.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.select("id", "mark", "fp").join(rooted.join(named, "root").select("fp", "component_id"), "fp")
+    one = rows.groupBy("fp").agg(F.min("mark").alias("mark"))
+    sets = write_table(rows.join(one, ["fp", "mark"], "left_semi").select("fp", "mark", "n", "odd", "keys").dropDuplicates(["fp"]), "simhash-distinct")
+    roots = components(set_links(docs, text, sets, shingle, share.numerator, share.denominator)).toDF("fp", "root")
+    return rows.select("id", "mark", "fp").join(roots, "fp", "left").select("id", "mark", F.coalesce("root", "fp").alias("root"))
 
 
 def drop_near(docs: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = SHINGLE, similarity: float | None = None) -> DataFrame:
-    """``docs`` with one document of each group, the one that names it; same columns.
+    """``docs`` with one row of each group; same columns.
 
     Without ``similarity`` groups are those of :func:`near_groups` (``shingle`` is then ``SHINGLE``);
     with it they are the components of texts whose sets of word shingles have that Jaccard similarity.
-    Rows without an id stay, since no other row can speak for them.
+    The row with the least id stays, one without an id only if the group has no other.  If several
+    rows have that id, the text with the least hash stays, and of equal ones the row whose columns have the least hash.
     """
     if similarity is None and shingle != SHINGLE:
         raise ValueError("fingerprints are made of three words")
     mark = F.xxhash64(texts(text))
     if similarity is None:
-        rows = _grouped(docs, id_column, text, [mark.alias("mark")])
+        rows = _grouped(docs, id_column, text, [mark.alias("mark")]).select("id", "mark", "root")
     else:
         rows = _similar(docs, id_column, text, shingle, similarity)
-    return drop_rows(docs, rows.filter("id <> component_id").select("id", "mark"), id_column, text)
+    rows = write_table(rows, "simhash-grouped")
+    first = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "mark")).alias("first"))
+    kept = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("mark") == F.col("first.mark"))
+    judged = write_table(rows.join(first, "root").select("id", "mark", kept.alias("kept")), "simhash-judged")
+    return drop_rows(docs, judged.filter("not kept"), repeated(judged.filter("kept")), id_column, text)

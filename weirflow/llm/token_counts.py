@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from weirflow.llm.bpe import KNOWN_WORDS, Pattern, Recent, Vocabulary, vocabulary_text, worker_vocabulary
-from weirflow.llm.common import texts, travels, without, worker_store
+from weirflow.llm.common import own_prefix, texts, travels, without, worker_store
 
 TOKEN_LIMIT = 1024
 # The words of the vocabulary's pattern, each with the white space before it.
@@ -36,6 +36,14 @@ _WHITE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f
 travels(__name__)
 
 
+def tokens_in(changes: bytes) -> int:
+    return int(np.frombuffer(changes, dtype="<i2").sum(dtype=np.int64))
+
+
+def tokens_of(parts: list[bytes]) -> int:
+    return tokens_in(b"".join(parts))
+
+
 class PrefixCounter:
     """Per unit: the change of the token count with each character, kept up to a bound."""
 
@@ -99,49 +107,54 @@ class PrefixCounter:
     def changes(self, text: str) -> bytes:
         """Two bytes per character of ``text``; their running sum is the number of tokens so far."""
         out: list[bytes] = []
+        start = so_far = since = 0  # characters and tokens before the part, and where the last special token ended
         for part, special in self.vocabulary.segments(text):
             if special is None:
-                out += self._ordinary(part)
+                found = self._ordinary(part)
+                out += found
+                so_far += tokens_of(found)
             else:
-                out.append(self._special(text, part, sum(map(len, out)) // 2, out))
+                out.append(self._special(text[since:start], part, so_far))
+                so_far, since = so_far + 1, start + len(part)
+            start += len(part)
         return b"".join(out)
 
+    def total(self, text: str) -> int:
+        """The tokens of a whole text that holds special tokens; nothing is cut for it."""
+        return sum(tokens_of(self._ordinary(part)) if special is None else 1 for part, special in self.vocabulary.segments(text))
+
     def _ordinary(self, text: str) -> list[bytes]:
         return [b"".join(map(self.lookup(set(units)).__getitem__, units)) for units in self.units.lists(text)]
 
-    def _special(self, text: str, token: str, start: int, before: list[bytes]) -> bytes:
+    def _special(self, tail: str, token: str, so_far: int) -> bytes:
         """Cut short, a special token is ordinary text that goes on after what stands before it: back
-        to the last special token, and no further than the last word that no cut can change."""
-        so_far = sum(int(np.frombuffer(b, dtype="<i2").sum(dtype=np.int64)) for b in before)
-        head = start
-        for special in self.vocabulary.special:
-            at = text.rfind(special, 0, start)
-            head = min(head, start - at - len(special)) if at >= 0 else head
+        to the last special token (``tail``), and no further than the last word that no cut can change."""
         # A letter or digit ends a word for good once a character of another class follows.
-        tail = text[start - head : start]
         safe = max((m.start() for m in islice(regex.finditer(r"(?r)(?<=[\p{L}\p{N}])[^\p{L}\p{N}']", tail), 1)), default=0)
-        base = sum(int(np.frombuffer(b, dtype="<i2").sum(dtype=np.int64)) for b in self._ordinary(tail[safe:]))
+        base = tokens_of(self._ordinary(tail[safe:]))
         counts = []
         for end in range(1, len(token)):
-            cut = sum(int(np.frombuffer(b, dtype="<i2").sum(dtype=np.int64)) for b in self._ordinary(tail[safe:] + token[:end]))
+            cut = tokens_of(self._ordinary(tail[safe:] + token[:end]))
             counts.append(so_far - base + cut)
         counts.append(so_far + 1)
         return np.diff(np.array(counts, dtype=np.int64), prepend=so_far).astype("<i2").tobytes()
 
-    def batch(self, several: list[str]) -> list[bytes]:
-        """:meth:`changes` of each text; the units of neighbouring texts are looked up together."""
+    def batch(self, several: list[str], keep: bool = True) -> list[bytes] | list[int]:
+        """:meth:`changes` of each text, or only their numbers of tokens; the units of neighbouring texts
+        are looked up together."""
         out, group, size = [], [], 0
 
         def close() -> None:
             table = self.lookup({u for units in group for u in units})
-            out.extend(b"".join(map(table.__getitem__, units)) for units in group)
+            found = (b"".join(map(table.__getitem__, units)) for units in group)
+            out.extend(found if keep else map(tokens_in, found))
             group.clear()
 
         for text in several:
             if len(text) > _GROUP or any(s in text for s in self.vocabulary.special):
                 close()
                 size = 0
-                out.append(self.changes(text))
+                out.append(self.changes(text) if keep else self.total(text))
                 continue
             group.append(self.units.findall(text))
             size += len(text)
@@ -170,23 +183,21 @@ def prefix_counts(docs: DataFrame, text: str = "text", path: str | None = None,
     """
     held = docs.sparkSession.sparkContext.broadcast(vocabulary_text(path))
 
-    def total(changes: bytes) -> int:
-        return int(np.frombuffer(changes, dtype="<i2").sum(dtype=np.int64))
-
     @F.pandas_udf("n bigint, changes binary")
     def both(column: pd.Series) -> pd.DataFrame:
         changes = _counter(held.value).batch(column.tolist())
-        return pd.DataFrame({"n": [total(c) for c in changes], "changes": changes})
+        return pd.DataFrame({"n": list(map(tokens_in, changes)), "changes": changes})
 
     @F.pandas_udf("bigint")
     def only(column: pd.Series) -> pd.Series:
-        return pd.Series([total(c) for c in _counter(held.value).batch(column.tolist())], dtype="int64")
+        return pd.Series(_counter(held.value).batch(column.tolist(), keep=False), dtype="int64")
 
     if not keep:
         return docs.select(*without(docs, ["n_tokens"]), only(texts(text)).alias("n_tokens"))
     rest = without(docs, ["n_tokens", "prefix_changes"])
-    done = docs.withColumn("_counted", both(texts(text)))
-    return done.select(*rest, F.col("_counted.n").alias("n_tokens"), F.col("_counted.changes").alias("prefix_changes"))
+    counted = f"{own_prefix(docs)}counted"
+    done = docs.withColumn(counted, both(texts(text)))
+    return done.select(*rest, F.col(f"{counted}.n").alias("n_tokens"), F.col(f"{counted}.changes").alias("prefix_changes"))
 
 
 @F.pandas_udf(LongType())

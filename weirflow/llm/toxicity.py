@@ -13,6 +13,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -23,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import remainder, texts, travels, without, worker_store, write_table
+from weirflow.llm.common import remainder, sent, texts, travels, without, worker_store, write_table
 
 WINDOW, STRIDE = 24, 12
 HIDDEN, EMBED, TRIGRAMS, VOCABULARY = 8, 12, 1 << 13, 6000
@@ -305,7 +306,7 @@ def _first_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _strongest_windows(held, key: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = _scorer(held.value, key)
+        scorer = _scorer(held(), key)
         for batch in batches:
             rows, k = [], 0
             for group in groups(batch["text"].tolist()):
@@ -382,9 +383,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "
             for k in range(0, len(order), 128):
                 part = order[k : k + 128]
                 fit_batch(net, adam, [windows[i] for i in part], labels[part], balance[part])
-        held = spark.sparkContext.broadcast(net)
-        found = drawn.mapInPandas(_strongest_windows(held, f"round-{turn}-{id(held)}"), _WINDOWS).collect()
-        held.unpersist()
+        held = sent(spark, net)
+        found = drawn.mapInPandas(_strongest_windows(held, uuid.uuid4().hex), _WINDOWS).collect()
     best: dict[int, tuple[float, int]] = {}
     for r in found:
         if r["order"] % 4 == 0 or len(found) < 40:
@@ -402,14 +402,14 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFram
     Null, empty and wordless texts get the score of a window without words.  Other columns pass
     through and are never looked at.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    key = f"final-{id(held)}"
+    held = sent(docs.sparkSession, model)
+    key = uuid.uuid4().hex
 
     @F.pandas_udf("double")
     def strongest(column: pd.Series) -> pd.Series:
-        scorer = _scorer(held.value.network, key)
+        scorer = _scorer(held().network, key)
         best = [logits.max() for group in groups(column.tolist()) for logits in scorer.logits(group)]
-        return pd.Series(np.round(held.value.probability(np.array(best, dtype=np.float64)), 6))
+        return pd.Series(np.round(held().probability(np.array(best, dtype=np.float64)), 6))
 
     rest = without(docs, OUTPUT)
     scored = docs.select(*rest, strongest(texts(text)).alias("score"))
