@@ -59,7 +59,7 @@ def test_crash_between_the_two_writes(spark, batch, tmp_path, monkeypatch):
 
     def failing(*args, **kwargs):
         calls.append(1)
-        if len(calls) == 3:
+        if len(calls) == 1:  # the tables are written, the dead letters are not
             raise OSError("storage is gone")
         return real(*args, **kwargs)
 

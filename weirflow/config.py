@@ -7,11 +7,15 @@ spelling of an event type without any code changing.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+# The column that leads the directories of all tables below one root.
+DESTINATION = "destination_table"
+
 # A long column with this metadata holds epoch milliseconds and is parsed by the timestamp cascade.
 TIMESTAMP_MILLIS = {"logical": "timestamp-millis"}
 
@@ -111,8 +115,13 @@ class Destination:
     options: TableOptions = field(default_factory=TableOptions)
 
     def location(self, root: str | None = None) -> str:
-        """Path of the table: below ``root`` if given, else on the object store."""
-        return f"{root.rstrip('/')}/{self.path}" if root else f"s3a://{self.bucket}/{self.path}"
+        """Path of the table: below ``root`` if given, where the destination is the leading partition of
+        all tables, else on the object store."""
+        if root is None:
+            return f"s3a://{self.bucket}/{self.path}"
+        if not re.fullmatch(r"[\w.-]+", self.table_name):
+            raise ValueError(f"a table name must be letters, digits, points, dashes and underscores: {self.table_name!r}")
+        return f"{root.rstrip('/')}/{DESTINATION}={self.table_name}"
 
 
 @dataclass(frozen=True)

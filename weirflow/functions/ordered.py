@@ -31,23 +31,32 @@ def range_chunks(df: DataFrame, order: list[str], chunks: int | None = None, row
     return reliable_checkpoint(placed)
 
 
-def running_sum(
-    placed: DataFrame, keys: list[str], order: list[str], value: Column, out: str, chunk: list[str] = (CHUNK,)
+def running(
+    placed: DataFrame, keys: list[str], order: list[str], value: Column, out: str, total=F.sum, chunk: list[str] = (CHUNK,)
 ) -> DataFrame:
-    """Inclusive running sum of ``value`` per key in ``order``.
+    """Inclusive running total (``F.sum``, ``F.min`` or ``F.max``) of ``value`` per key in ``order``; null where
+    no row so far has a value.
 
     ``placed`` comes from :func:`range_chunks`, or has ``chunk`` columns of its own that sort like the
     order and bound the rows of one (key, chunk).  Keys must not be NULL.
     """
+    join = {F.sum: lambda a, b: F.coalesce(a + b, a, b), F.min: F.least, F.max: F.greatest}[total]
     spot = [*keys, *chunk]
     valued = placed.withColumn("_v", value)
-    totals = valued.groupBy(*spot).agg(F.sum("_v").alias("_total"))
+    totals = valued.groupBy(*spot).agg(total("_v").alias("_total"))
     earlier = Window.partitionBy(*keys).orderBy(*chunk).rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(*spot, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_carried"))
+    carried = totals.select(*spot, total("_total").over(earlier).alias("_carried"))
     inside = Window.partitionBy(*spot).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        valued.withColumn("_inside", F.sum("_v").over(inside))
+        valued.withColumn("_inside", total("_v").over(inside))
         .join(carried, spot)
-        .withColumn(out, F.col("_carried") + F.col("_inside"))
+        .withColumn(out, join(F.col("_carried"), F.col("_inside")))
         .drop("_v", "_inside", "_carried")
     )
+
+
+def running_sum(
+    placed: DataFrame, keys: list[str], order: list[str], value: Column, out: str, chunk: list[str] = (CHUNK,)
+) -> DataFrame:
+    """:func:`running` for sums."""
+    return running(placed, keys, order, value, out, F.sum, chunk)

@@ -30,6 +30,7 @@ _SUMMARY = (
     f"service string, {CHUNK} int, kinds array<int>, amounts array<bigint>, "
     "limits array<bigint>, open_kinds array<int>, open_amounts array<bigint>"
 )
+_STATE = "service string, kind int, amount bigint"
 _STARTS = f"service string, {CHUNK} int, kind int, amount bigint"
 _REPLAY = "service string, call_id bigint, at_ms bigint, failed boolean, allowed boolean, state string"
 
@@ -53,13 +54,14 @@ def _summariser(s: b.BreakerSettings):
 
 
 def _folder(s: b.BreakerSettings):
-    def run(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
-        state, rows = b.START, []
+    def run(key: tuple[Any, ...], pdf: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        state, rows = (int(known["kind"].iloc[0]), int(known["amount"].iloc[0])) if len(known) else b.START, []
         for r in pdf.sort_values(CHUNK).itertuples(index=False):
             rows.append((key[0], getattr(r, CHUNK), *state))
             ends = [(int(k), int(v)) for k, v in zip(r.kinds, r.amounts)]
             waking = [(int(m), (int(k), int(v))) for m, k, v in zip(r.limits, r.open_kinds, r.open_amounts)]
             state = b.apply_summary(state, ends, waking, s)
+        rows.append((key[0], -1, *state))  # after all calls
         return pd.DataFrame(rows, columns=["service", CHUNK, "kind", "amount"])
 
     return run
@@ -81,17 +83,31 @@ def _replayer(s: b.BreakerSettings):
     return run
 
 
-def breaker_replay(calls: DataFrame, settings: b.BreakerSettings = b.SERVICE_BREAKER, chunks: int | None = None) -> DataFrame:
+def breaker_replay(calls: DataFrame, settings: b.BreakerSettings = b.SERVICE_BREAKER, chunks: int | None = None, before: DataFrame | None = None) -> DataFrame:
     """(service, call_id, at_ms, failed[, trips]) -> the same calls with ``allowed`` and ``state`` after.
 
     Calls with ``allowed`` false met an open breaker; they are kept, for the dead-letter table.
+    ``before`` is where the services stood before the calls (see :func:`breaker_ends`); by default closed.
     """
+    by_chunk, starts = _started(calls, settings, chunks, before)
+    return by_chunk.cogroup(starts.filter(F.col(CHUNK) >= 0).groupBy("service", CHUNK)).applyInPandas(_replayer(settings), _REPLAY)
+
+
+def _started(calls: DataFrame, settings: b.BreakerSettings, chunks: int | None, before: DataFrame | None):
     trips = F.col("trips") if "trips" in calls.columns else F.lit(True)
     placed = range_chunks(calls.select("service", "call_id", "at_ms", "failed", trips.alias("trips")), ORDER, chunks)
     by_chunk = placed.groupBy("service", CHUNK)
     summaries = by_chunk.applyInPandas(_summariser(settings), _SUMMARY)
-    starts = summaries.groupBy("service").applyInPandas(_folder(settings), _STARTS)
-    return by_chunk.cogroup(starts.groupBy("service", CHUNK)).applyInPandas(_replayer(settings), _REPLAY)
+    known = before if before is not None else calls.sparkSession.createDataFrame([], _STATE)
+    starts = summaries.groupBy("service").cogroup(known.select("service", "kind", "amount").groupBy("service")).applyInPandas(_folder(settings), _STARTS)
+    return by_chunk, starts
+
+
+def breaker_ends(calls: DataFrame, settings: b.BreakerSettings = b.SERVICE_BREAKER, chunks: int | None = None, before: DataFrame | None = None) -> DataFrame:
+    """(service, kind, amount): where each service stands after the calls, for the next batch; services
+    without a call stay where they were."""
+    _, starts = _started(calls, settings, chunks, before)
+    return starts.filter(F.col(CHUNK) < 0).select("service", "kind", "amount")
 
 
 def failure_streaks(calls: DataFrame, min_length: int = 5, chunks: int | None = None) -> DataFrame:
@@ -118,6 +134,19 @@ def trips_topic_breaker(error_class: str = "error_class", error_message: str = "
     return message.rlike("schema|unauthorized|authentication") | kind.rlike("security|validation") | (kind == "nonretriableexception")
 
 
+def with_trips(calls: DataFrame, errors: DataFrame) -> DataFrame:
+    """Calls with ``trips`` from the log of errors (call_id, error_class, error_message); a failure without
+    an entry trips nothing."""
+    marks = errors.select("call_id", trips_topic_breaker().alias("trips"))
+    return calls.join(marks, "call_id", "left").withColumn("trips", F.coalesce("trips", F.lit(False)))
+
+
 def blocked(replayed: DataFrame) -> DataFrame:
     """Calls that met an open breaker; route them to the dead-letter table instead of dropping them."""
     return replayed.filter(~F.col("allowed"))
+
+
+def blocked_messages(messages: DataFrame, replayed: DataFrame) -> DataFrame:
+    """Messages (with ``call_id``) whose call met an open breaker, as rejects for the dead letters."""
+    met = messages.join(blocked(replayed).select("call_id"), "call_id", "left_semi")
+    return met.withColumns({"reject_rule": F.lit("breaker_open"), "reject_reason": F.concat(F.lit("The breaker of "), "topic", F.lit(" is open"))})

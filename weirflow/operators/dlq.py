@@ -57,7 +57,13 @@ def dlq_reprocess(letters: DataFrame, topic: TopicConfig, as_of: dt.datetime, ma
         .orderBy("original_timestamp", "original_partition", "original_offset")
         .limit(max_messages)
     )
-    again = oldest.select(
+    checked = reprocessed(oldest, topic, as_of)
+    return checked.withColumn("outcome", F.when(F.col("reject_rule").isNull(), F.lit("accepted")).otherwise(F.lit("still_failing")))
+
+
+def reprocessed(letters: DataFrame, topic: TopicConfig, as_of: dt.datetime, keep: list[str] | None = None) -> DataFrame:
+    """Dead letters of a topic as messages again, parsed and checked, with ``first_reason`` and the columns ``keep``."""
+    again = letters.select(
         F.col("original_topic").alias("topic"),
         F.col("original_partition").alias("partition"),
         F.col("original_offset").alias("offset"),
@@ -65,9 +71,9 @@ def dlq_reprocess(letters: DataFrame, topic: TopicConfig, as_of: dt.datetime, ma
         F.col("original_value").alias("value"),
         F.col("original_timestamp").alias("timestamp"),
         F.col("error_reason").alias("first_reason"),
+        *(keep or []),
     )
-    checked = validate(parse(again, topic, as_of), topic, as_of)
-    return checked.withColumn("outcome", F.when(F.col("reject_rule").isNull(), F.lit("accepted")).otherwise(F.lit("still_failing")))
+    return validate(parse(again, topic, as_of), topic, as_of)
 
 
 def unrouted(routed: DataFrame) -> DataFrame:

@@ -28,6 +28,13 @@ def missing_columns(df: DataFrame, required: tuple[str, ...]) -> list[str]:
     return [c for c in required if c not in df.columns]
 
 
+def column_report(df: DataFrame, required: tuple[str, ...]) -> DataFrame:
+    """(column_name, present, filled): each required column, whether ``df`` has it, and its values that are not null."""
+    lost = set(missing_columns(df, required))
+    counts = df.agg(F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(c not in lost).alias("present"), (F.lit(0) if c in lost else F.count(c)).cast("bigint").alias("filled")) for c in required]).alias("c"))
+    return counts.select(F.inline("c"))
+
+
 def metadata_quality(lines: DataFrame, text: str = "value") -> DataFrame:
     """Counts over JSON Lines text: rows, metadata objects, complete ones, versions, original data."""
     doc = lines.select(F.try_parse_json(text).alias("_d"))

@@ -15,12 +15,16 @@ def write_batch(df: DataFrame, path: str, partition_columns: tuple[str, ...], ba
     first attempt left behind, whole or partial.  Rows are brought together by partition first, by a
     rebalance: it keeps small partitions in one file and splits large ones over several tasks.
     """
+    write_partitions(df.withColumn(BATCH, F.lit(batch_id).cast("bigint")), path, (BATCH, *partition_columns), file_format)
+
+
+def write_partitions(df: DataFrame, path: str, columns: tuple[str, ...], file_format: str = "parquet") -> None:
+    """Write below ``<column>=<value>/`` directories; those of ``df`` replace what they held, others stay."""
     (
-        df.hint("rebalance", *partition_columns)
-        .withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+        df.hint("rebalance", *[c for c in columns if c != BATCH])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH, *partition_columns)
+        .partitionBy(*columns)
         .format(file_format)
         .save(path)
     )

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.config import DEFAULT_TOPICS, TopicConfig
+from weirflow.config import DEFAULT_TOPICS, DESTINATION, TopicConfig
 from weirflow.operators.dedup import deduplicated
 from weirflow.operators.dlq import dlq_envelope, unrouted
 from weirflow.operators.enrich import table_rows
@@ -17,9 +18,10 @@ from weirflow.operators.jsonschema import check_schema, load_schema
 from weirflow.operators.parse import JSON, parse
 from weirflow.operators.route import route
 from weirflow.operators.rules import Rule, accepted, rejected, validate
-from weirflow.operators.sinks import write_batch
+from weirflow.operators.sinks import BATCH, write_batch, write_partitions
 
 DLQ_PATH = "dead-letters"
+KINDS_AT_ONCE = 4  # kinds of topics that are written at the same time
 
 
 def checked_messages(messages: DataFrame, topic: TopicConfig, as_of: dt.datetime) -> DataFrame:
@@ -64,35 +66,69 @@ def batch_clock(messages: DataFrame, started: Column | None = None) -> dt.dateti
     return dt.datetime.fromtimestamp((row["ms"] if row["ms"] is not None else row["start"]) / 1000, dt.timezone.utc).replace(tzinfo=None)
 
 
+def destination_groups(topics: tuple[TopicConfig, ...]) -> list[list[TopicConfig]]:
+    """Topics whose messages are parsed, checked and filed in the same way."""
+    groups: dict[tuple, list[TopicConfig]] = {}
+    for topic in topics:
+        place = topic.destination
+        alike = (topic.schema.json(), topic.schema_file, topic.rules, topic.lenient, topic.processing.dedup, place.partition_columns, place.file_format)
+        groups.setdefault(alike, []).append(topic)
+    return list(groups.values())
+
+
+def _with_destination(rows: DataFrame, topics: list[TopicConfig]) -> DataFrame:
+    """Table rows of ``topics`` with the name of their table; Spark picks the join by the number of topics."""
+    if len(topics) == 1:
+        return rows.withColumn(DESTINATION, F.lit(topics[0].destination.table_name))
+    names = rows.sparkSession.createDataFrame([(t.topic, t.destination.table_name) for t in topics], f"_kafka_topic string, {DESTINATION} string")
+    return rows.join(names, "_kafka_topic")
+
+
+def _write_group(messages: DataFrame, root: str, batch_id: int, topics: list[TopicConfig], now: dt.datetime) -> tuple[DataFrame, DataFrame]:
+    """Write the accepted rows of a group of topics; the dead letters, and what is to be freed after them."""
+    one = topics[0]
+    mine = deduplicated(messages.filter(F.col("topic").isin([t.topic for t in topics])), one.processing.dedup)
+    checked = _kept_parts(checked_messages(mine, one, now)).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = _with_destination(table_rows(accepted(checked), one, now), topics).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+    write_partitions(rows, root, (DESTINATION, BATCH, *one.destination.partition_columns), one.destination.file_format)
+    return dlq_envelope(rejected(checked), now), checked
+
+
 def write_messages(
     messages: DataFrame,
     root: str,
     batch_id: int,
     topics: tuple[TopicConfig, ...] = DEFAULT_TOPICS,
     as_of: dt.datetime | None = None,
-) -> None:
+    counted: bool = False,
+) -> list[tuple[str, int, int]]:
     """Write a batch of mixed topics: one table per topic and one dead-letter table.
 
-    Each message is parsed and checked once; the checked rows are kept (on disk if need be) for the two
-    writes.  Both writes are keyed by ``batch_id``, so after a crash anywhere the batch can run again.
+    Topics with one schema and one set of rules are parsed together and written by one job, in which
+    the destination is the leading partition, so the number of jobs follows the kinds of topics and not
+    the topics.  The kinds run beside each other.  Each message is parsed and checked once; the
+    checked rows are kept (on disk if need be) for the dead letters.  Both writes are keyed by ``batch_id``,
+    so after a crash anywhere the batch can run again.  If ``counted``, returns (topic, processed, failed)
+    of each topic met, from the rows that are kept.
     """
-    source = messages.persist(StorageLevel.MEMORY_AND_DISK) if len(topics) > 1 or as_of is None else messages
-    now = as_of or batch_clock(source)
-    kept, letters = [], [dlq_envelope(unrouted(route(source, topics)), now)]
+    now = as_of or batch_clock(messages)
+    groups = destination_groups(topics)
+    letters, kept = [dlq_envelope(unrouted(route(messages, topics)), now)], []
     try:
-        for topic in topics:
-            mine = deduplicated(source.filter(F.col("topic") == topic.topic), topic.processing.dedup)
-            checked = _kept_parts(checked_messages(mine, topic, now))
-            checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
+        with ThreadPoolExecutor(max(1, min(len(groups), KINDS_AT_ONCE))) as pool:
+            work = inheritable_thread_target(messages.sparkSession)(lambda group: _write_group(messages, root, batch_id, group, now))
+            done = [pool.submit(work, group) for group in groups]
+        for future in done:
+            rejects, checked = future.result()
+            letters.append(rejects)
             kept.append(checked)
-            place = topic.destination
-            rows = table_rows(accepted(checked), topic, now)
-            write_batch(rows, place.location(root), place.partition_columns, batch_id, place.file_format)
-            letters.append(dlq_envelope(rejected(checked), now))
-        everything = reduce(DataFrame.unionByName, letters)
-        write_batch(everything, f"{root.rstrip('/')}/{DLQ_PATH}", ("dlq_topic",), batch_id)
+        write_batch(reduce(DataFrame.unionByName, letters), f"{root.rstrip('/')}/{DLQ_PATH}", ("dlq_topic",), batch_id)
+        if not counted:
+            return []
+        parts = [df.select("topic", F.col("reject_rule").isNotNull().alias("bad")) for df in kept]
+        lost = unrouted(route(messages.select("topic"), topics)).select("topic", F.lit(True).alias("bad"))
+        sums = reduce(DataFrame.unionByName, parts, lost).groupBy("topic").agg(F.count("*").alias("n"), F.count_if("bad").alias("failed"))
+        return [(r["topic"], r["n"], r["failed"]) for r in sums.collect()]  # one row a topic
     finally:
         for df in kept:
             df.unpersist()
-        if source is not messages:
-            source.unpersist()

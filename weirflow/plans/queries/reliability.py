@@ -302,10 +302,10 @@ def failure_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return breaker.failure_streaks(call_outcomes(spark, sf_dir))
 
 
-def _replay_sql(open_ms: int, trips: str) -> str:
+def replay_sql(open_ms: int, trips: str, calls: str = _CALLS_SQL) -> str:
     """The breaker as a recursion over the calls of each service: k = 0 closed, 1 half-open, 2 open."""
     return f"""
-WITH RECURSIVE {_CALLS_SQL.strip()},
+WITH RECURSIVE {calls.strip()},
 c AS (SELECT *, {trips} AS tr, row_number() OVER (PARTITION BY service ORDER BY at_ms, call_id) AS rn FROM calls),
 run(service, rn, call_id, at_ms, failed, k, v, allowed) AS (
   SELECT service, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BOOLEAN), 0, CAST(0 AS BIGINT), true FROM (SELECT DISTINCT service FROM calls)
@@ -321,18 +321,18 @@ run(service, rn, call_id, at_ms, failed, k, v, allowed) AS (
 SELECT service, call_id, at_ms, failed, allowed, CASE k WHEN 0 THEN 'CLOSED' WHEN 1 THEN 'HALF_OPEN' ELSE 'OPEN' END AS state FROM run WHERE rn > 0"""
 
 
-@query("breaker_replay", _replay_sql(60_000, "true"))
+@query("breaker_replay", replay_sql(60_000, "true"))
 def breaker_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return breaker.breaker_replay(call_outcomes(spark, sf_dir).drop("trips"))
 
 
-@query("breaker_replay_slow_reset", _replay_sql(3_600_000, "true"))
+@query("breaker_replay_slow_reset", replay_sql(3_600_000, "true"))
 def breaker_replay_slow_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An hour of waiting, so that open breakers do turn calls away."""
     return breaker.breaker_replay(call_outcomes(spark, sf_dir).drop("trips"), BreakerSettings(open_ms=3_600_000))
 
 
-@query("topic_breaker_replay", _replay_sql(30_000, "trips"))
+@query("topic_breaker_replay", replay_sql(30_000, "trips"))
 def topic_breaker_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The listener's breaker: only some failures open it, and it waits 30 seconds."""
     return breaker.breaker_replay(call_outcomes(spark, sf_dir), TOPIC_BREAKER)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,10 +13,9 @@ from weirflow.functions.times import as_of_timestamp
 from weirflow.operators.dedup import deduplicated_stream
 from weirflow.operators.enrich import with_record_metadata
 from weirflow.operators.metrics import failure_rate_windows
-from weirflow.operators.sinks import read_table, write_batch
 from weirflow.plans.flow import batch_clock, write_messages
+from weirflow.plans.ledger import after_flush, record_run, run_results  # noqa: F401
 
-RUNS_PATH = "runs"
 STARTED = "_batch_started"
 
 # Flush settings as triggers: every 60 seconds, or once over everything that is there.
@@ -32,24 +31,28 @@ def ingest(
     as_of: dt.datetime | None = None,
     trigger: dict = EVERY_MINUTE,
     dedup: str | None = None,
+    maintenance: bool = True,
 ) -> StreamingQuery:
     """Write a stream of envelopes to its tables and the dead-letter table, each batch exactly once.
 
     Without ``as_of`` every batch takes the newest message time in it, bounded by the start of the
     batch that the checkpoint keeps.  ``dedup`` ("offset" or "content") drops second deliveries across
-    batches, within a day.  Each batch leaves one row in the table of runs.
+    batches, within a day.  Each batch leaves one row a topic in the table of runs, or one row with the
+    error if it fails, and its files in the ledger of files; with ``maintenance`` what is due for the
+    tables that it wrote is done before the next batch.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        began = dt.datetime.now(dt.timezone.utc)
-        seen = Observation(f"run-{batch_id}")
-        counted = batch.observe(seen, F.count("*").alias("processed")).drop(STARTED)
-        now = as_of or batch_clock(batch, F.col(STARTED))
-        write_messages(counted, root, batch_id, topics, now)
-        ms = int((dt.datetime.now(dt.timezone.utc) - began).total_seconds() * 1000)
-        row = [(batch_id, began.isoformat(), int(seen.get["processed"]), ms)]
-        run = batch.sparkSession.createDataFrame(row, "batch_id bigint, started_at string, processed bigint, duration_ms bigint")
-        write_batch(run, f"{root.rstrip('/')}/{RUNS_PATH}", (), batch_id)
+        spark, began = batch.sparkSession, dt.datetime.now(dt.timezone.utc)
+        try:
+            now = as_of or batch_clock(batch, F.col(STARTED))
+            counts = write_messages(batch.drop(STARTED), root, batch_id, topics, now, counted=True)
+            if maintenance:
+                after_flush(spark, root, batch_id, topics, now)
+        except Exception as error:
+            record_run(spark, root, batch_id, [], began, dt.datetime.now(dt.timezone.utc), f"{type(error).__name__}: {error}"[:2000])
+            raise
+        record_run(spark, root, batch_id, counts, began, dt.datetime.now(dt.timezone.utc))
 
     # In a streaming plan this is the time at which the batch was planned, kept in the checkpoint.
     timed = deduplicated_stream(messages, dedup).withColumn(STARTED, F.current_timestamp())
@@ -88,7 +91,3 @@ def failure_rates(outcomes: DataFrame, watermark: str = "10 minutes") -> DataFra
     """Failures per second in 5-minute windows of a stream of checked messages."""
     return failure_rate_windows(outcomes.withWatermark("timestamp", watermark), F.col("reject_rule").isNotNull())
 
-
-def run_results(spark: SparkSession, root: str) -> DataFrame:
-    """All batches that an ingestion has written, one row each: batch, start, rows, milliseconds."""
-    return read_table(spark, f"{root.rstrip('/')}/{RUNS_PATH}").select("batch_id", "started_at", "processed", "duration_ms")
