@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from helpers import docs_of, prose
-from weirflow.llm.decontaminate import Index, contaminated, drop_contaminated, question_and_answer, units_of, words_of
+from weirflow.llm.decontaminate import Index, contaminated, drop_contaminated, near_share, question_and_answer, units_of, words_of
 
 ITEM = "item_id long, text string"
 
@@ -84,3 +84,46 @@ def test_nulls_empty_and_repeated(spark, items):
     nothing = spark.createDataFrame([], ITEM)
     assert contaminated(docs, nothing).count() == 0 and drop_contaminated(docs, nothing).count() == 4
     assert contaminated(docs_of(spark, []), table).count() == 0
+
+
+def plain_edits(part, around):
+    """Fewest word edits from ``part`` to a stretch of ``around``."""
+    row = [0] * (len(around) + 1)
+    for k, word in enumerate(part, 1):
+        new = [k]
+        for j, other in enumerate(around, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (word != other)))
+        row = new
+    return min(row)
+
+
+def test_shares_of_short_parts_equal_an_edit_table():
+    rng = random.Random(6)
+    for _ in range(400):
+        part = [rng.randrange(4) for _ in range(rng.randint(1, 29))]
+        around = [rng.randrange(5) for _ in range(rng.randint(0, 60))]
+        if rng.random() < 0.5:
+            around += part[: rng.randint(0, len(part))] + [9] + part[rng.randint(0, len(part)) :]
+        assert near_share(part, around) == pytest.approx(1 - plain_edits(part, around) / len(part))
+
+
+def test_items_with_one_word_replaced_are_found(items):
+    """Recall over every place of every item; texts made of the same words hold nothing."""
+    index, rng, found, tried = index_of(items), random.Random(7), 0, 0
+    for item, text in items:
+        words = text.split()
+        for place in range(len(words)):
+            edited = " ".join([*words[:place], "replaced", *words[place + 1 :]])
+            found += item in {m[0] for m in index.matches(f"{prose(rng, 60)} {edited} {prose(rng, 60)}")}
+            tried += 1
+    assert found / tried > 0.97
+    assert not any(index.matches(prose(rng, 400)) for _ in range(300))
+
+
+def test_with_an_answer_of_its_own_both_parts_must_be_there():
+    rng = random.Random(8)
+    question, answer = prose(rng, 20), prose(rng, 6)
+    words = words_of(f"{question} {answer}")
+    index = Index.build([(1, question, answer)], Counter(words), 1, len(words))
+    assert index.matches(f"{prose(rng, 30)} {question} {prose(rng, 5)} {answer}")
+    assert not index.matches(f"{prose(rng, 30)} {question} {prose(rng, 5)}")

@@ -72,3 +72,32 @@ def test_stage(spark):
     docs = docs_of(spark, [t for t, _ in rows] + [None, "...", ""], [g for _, g in rows] + ["aa", None, "bb"])
     left = drop_unknown(docs)
     assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == list(range(120))
+
+
+def test_temperature_is_the_one_that_the_labels_were_drawn_with():
+    rng = np.random.default_rng(3)
+    logits = rng.normal(0, 2, (20_000, 4))
+    for true in (0.3, 1.0, 4.0):
+        labels = np.array([rng.choice(4, p=p) for p in softmax(logits / true)])
+        assert abs(np.log(fit_temperature(logits, labels) / true)) < 0.1
+
+
+def test_temperature_is_inside_its_range_without_an_error():
+    labels = np.arange(400) % 3
+    logits = np.eye(3)[labels] * 0.4
+    t = fit_temperature(logits, labels)
+    confidence = softmax(logits / t).max(axis=1).mean()
+    assert 1e-3 < t < 1e3 and abs(confidence - (1 - 1 / 402)) < 1e-3
+    assert fit_temperature(np.zeros((0, 3)), np.zeros(0, int)) == 1.0
+
+
+def test_expected_calibration_error_on_rows_kept_out(spark):
+    fit, held = sample(900, 5), sample(900, 6)
+    model = train(docs_of(spark, [t for t, _ in fit], [g for _, g in fit]))
+    got = [(*model.predict(t), g) for t, g in held]
+    error = 0.0
+    for low in np.arange(0, 1, 0.1):
+        inside = [(s, p == g) for p, s, g in got if low < s <= low + 0.1]
+        error += abs(sum(s for s, _ in inside) - sum(ok for _, ok in inside)) / len(got)
+    assert error < 0.03
+    assert all(model.predict(" ".join(t.split()[:2]))[0] == g for t, g in held[:200])

@@ -74,3 +74,9 @@ def test_repeated_rows_and_other_columns(spark):
     rows = secret_report(docs).collect()
     assert sorted((r.doc_id, r.ordinal, r.is_secret) for r in rows) == [(1, 0, True), (1, 0, True), (2, 0, True)]
     assert {r.n_chars for r in rows} == {16}
+
+
+def test_a_path_of_many_folders_is_one_candidate(spark):
+    docs = docs_of(spark, ["a/" * 100_000 + "1", "see a/b/c1d2e3f4g5h6 there", "password = hunter2024"])
+    rows = {r.id: r for r in with_features(with_coverage(candidates(docs))).collect()}
+    assert len(rows[0].candidate) == 200_001 and rows[0].path == rows[1].path == 1.0 and rows[2].path == 0.0

@@ -50,3 +50,19 @@ def test_frames_answer_truncation_and_budgets(spark, library):
     assert [report[k].n_bytes for k in range(4)] == [0, 0, len(texts[2]), 4000]
     assert [report[k].over_limit for k in range(4)] == [False, False, False, True]
     assert token_report(docs_of(spark, [])).count() == 0
+
+
+def test_many_special_strings_take_time_by_the_length_of_the_text():
+    import time
+
+    from weirflow.llm.bpe import Vocabulary, vocabulary_text
+    from weirflow.llm.token_counts import tokens_in
+
+    counter = PrefixCounter(Vocabulary(vocabulary_text()))
+    few, many = "<|endoftext|>ab " * 40, "<|endoftext|>ab " * 20_000
+    began = time.time()
+    assert counter.batch([many], keep=False)[0] == 500 * counter.batch([few], keep=False)[0]
+    assert time.time() - began < 10
+    began, some = time.time(), "<|endoftext|>ab " * 2_000
+    assert tokens_in(counter.changes(some)) == 50 * tokens_in(counter.changes(few))
+    assert time.time() - began < 20

@@ -98,14 +98,14 @@ def fit_temperature(logits: np.ndarray, labels: np.ndarray, rounds: int = 80) ->
     """The temperature with the least log loss against smoothed labels; 1 without rows to fit it on.
 
     Rows without an error would make the least temperature the best one.  So a label counts only as
-    1 - e, and e is spread over the other languages, e being (errors + 1) / (rows + 2), the chance of an
-    error of which the rows give evidence.  The loss is convex in 1 / temperature and grows without
+    1 - e, and e is spread over the other languages, e being 1 / (rows + 2): one error more than there
+    are, the least that so many rows leave possible.  The loss is convex in 1 / temperature and grows without
     bound on both sides, so its minimum lies inside; golden sections find it between 1e-4 and 1e4.
     """
     n, k = logits.shape if len(labels) else (0, 0)
     if not n or k < 2:
         return 1.0
-    wrong = ((logits.argmax(axis=1) != labels).sum() + 1) / (n + 2)
+    wrong = 1 / (n + 2)
     target = np.full((n, k), wrong / (k - 1))
     target[np.arange(n), labels] = 1 - wrong
 

@@ -122,11 +122,10 @@ def set_links(docs: DataFrame, text: str, sets: DataFrame, shingle: int, above:
     open_keys = parts.groupBy("key").agg(F.max(F.struct("size", "root"))["root"].alias("main"), F.count("*").alias("parts")).filter("parts > 1")
     left = write_table(rooted.join(open_keys.select("key", "main"), "key"), "links-open")
     a = left.filter("root <> main").select("key", F.col("fp").alias("a"), F.col("root").alias("a_root"))
-    b = left.select("key", F.col("fp").alias("b"), F.col("root").alias("b_root"), (F.col("root") == F.col("main")).alias("b_main"))
+    b = left.select(F.col("key").alias("b_key"), F.col("fp").alias("b"), F.col("root").alias("b_root"), (F.col("root") == F.col("main")).alias("b_main"))
     a, b = a.join(side("a"), "a"), b.join(side("b"), "b")
     apart = (F.col("a_root") != F.col("b_root")) & (F.col("b_main") | (F.col("a") < F.col("b")))
-    same_key = a["key"] == b["key"]
-    across = a.join(b, same_key & apart & _may_link("a", "b", above, below))
+    across = a.join(b, (F.col("key") == F.col("b_key")) & apart & _may_link("a", "b", above, below))
     across = across.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
     return first.union(verified(docs, text, sets, across, shingle, above, below))
 

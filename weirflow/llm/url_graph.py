@@ -6,12 +6,15 @@ side by side: trust starts at allowed seeds and follows the edges, distrust star
 and follows them backwards.  A host is blocked if its share of distrust reaches ``THRESHOLD``.
 
 Edges are hyperlinks to other hosts, and a host and its parent domain vouch for each other.  Ranks are
-tables that are joined with the table of edges and summed with map-side combine; each round is
-written to the shared folder.
+tables that are joined with the table of edges and summed with map-side combine; after some rounds
+they are written to the shared folder and compared with those before.  Rounds go on until no host is
+reached that was not, and no rank changes by more than ``TOLERANCE`` of itself, however long the chains.
 """
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +23,10 @@ from weirflow.llm.common import without, write_table
 # The rules of the registered query (given).
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
 DAMPING = 0.85
-ROUNDS = 10
+ROUNDS = 8  # rounds between two looks at what has changed
+TOLERANCE = 1e-8  # largest change of a rank over these rounds, as a share of the rank
 THRESHOLD = 0.5
+SLACK = 1e-6  # shares this close to the threshold, in parts of them, have reached it
 OUTPUT = ["host", "path", "rule", "verdict", "trust", "distrust"]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -69,7 +74,7 @@ def host_edges(pages: DataFrame, html: str) -> DataFrame:
     return links.union(both).filter("src <> dst and src <> '' and dst <> ''").distinct()
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING) -> DataFrame:
     """(host, trust, distrust), each summing to one over all hosts.
 
     ``seeds`` is (kind, host, weight) with kinds ``trust`` and ``distrust``.  Rank that reaches a host
@@ -84,16 +89,23 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
     total = seeds.groupBy("kind").agg(F.sum("weight").alias("all"))
     start = write_table(seeds.join(total, "kind").select("kind", "host", (F.col("weight") / F.col("all")).alias("r")), "url-seeds")
     ranks = start
-    for _ in range(rounds):
-        moved = ranks.join(weighted, ["kind", "host"]).select("kind", F.col("to").alias("host"), (F.col("r") * F.col("w") * damping).alias("r"))
-        ranks = write_table(moved.union(start.select("kind", "host", F.col("r") * (1 - damping))).groupBy("kind", "host").agg(F.sum("r").alias("r")), "url-ranks")
+    for _ in count():
+        before, later = ranks, ranks
+        for _ in range(ROUNDS):
+            moved = later.join(weighted, ["kind", "host"]).select("kind", F.col("to").alias("host"), (F.col("r") * F.col("w") * damping).alias("r"))
+            later = moved.union(start.select("kind", "host", F.col("r") * (1 - damping))).groupBy("kind", "host").agg(F.sum("r").alias("r"))
+        ranks = write_table(later, "url-ranks")
+        old = before.select("kind", "host", F.col("r").alias("old"))
+        change = ranks.join(old, ["kind", "host"], "left").agg(F.max(F.abs(F.col("r") - F.coalesce("old", F.lit(0.0))) / F.col("r"))).first()[0]
+        if change is None or change <= tolerance:
+            break
     whole = ranks.groupBy("kind").agg(F.sum("r").alias("all"))
     share = ranks.join(whole, "kind").select("kind", "host", (F.col("r") / F.col("all")).alias("r"))
     sides = [F.sum(F.when(F.col("kind") == k, F.col("r")).otherwise(0.0)).alias(k) for k in ("trust", "distrust")]
     return share.groupBy("host").agg(*sides)
 
 
-def judge(pages: DataFrame, rules=RULES, url: str = "url", html: str = "html", threshold: float = THRESHOLD, rounds: int = ROUNDS) -> DataFrame:
+def judge(pages: DataFrame, rules=RULES, url: str = "url", html: str = "html", threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
     """All rows and columns of ``pages`` with host, path, rule, verdict, trust and distrust.
 
     A null url, or one without ``://``, has an empty host and path, fits no rule and is in no graph.
@@ -108,10 +120,10 @@ def judge(pages: DataFrame, rules=RULES, url: str = "url", html: str = "html", t
     both = votes.groupBy("host").agg(F.sum("n").alias("all"))
     seeds = votes.join(both, "host").select(F.when(F.col("rule_verdict") == "allow", "trust").otherwise("distrust").alias("kind"), "host", (F.col("n") / F.col("all")).alias("weight"))
     edges = write_table(host_edges(placed.select("host", F.col(html).alias("html")), "html"), "url-links")
-    scores = propagate(edges, seeds, rounds)
+    scores = propagate(edges, seeds, tolerance)
     trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
-    suspect = F.round(distrust * (1 - threshold) - trust * threshold, 12)  # rounded: sums differ in their last bits
+    suspect = distrust * (1 - threshold) * (1 + SLACK) >= trust * threshold
     known = ruled.join(scores, "host", "left").select(
-        "host", "path", "rule", F.coalesce("rule_verdict", F.when((distrust > 0) & (suspect >= 0), "block").otherwise("allow")).alias("verdict"), trust.alias("trust"), distrust.alias("distrust")
+        "host", "path", "rule", F.coalesce("rule_verdict", F.when((distrust > 0) & suspect, "block").otherwise("allow")).alias("verdict"), trust.alias("trust"), distrust.alias("distrust")
     )
     return placed.join(write_table(known, "url-verdicts"), ["host", "path"]).select(*source.columns, *OUTPUT)
