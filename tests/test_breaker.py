@@ -110,3 +110,22 @@ def test_stream_equals_batch(spark, tmp_path):
     got = {(r.call_id, r.state, r.allowed) for r in spark.table("breaker_out").collect()}
     want = {(r.call_id, r.state, r.allowed) for r in op.breaker_replay(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == want
+
+
+def test_a_stream_goes_on_where_a_batch_replay_ended(spark, tmp_path):
+    rows = sorted(outcomes(200), key=lambda r: r[2])
+    rows = [(*r, k % 3 != 0) for k, r in enumerate(rows)]
+    schema = f"{SCHEMA}, trips boolean"
+    settings = b.BreakerSettings(failure_threshold=3, open_ms=30_000, success_threshold=2)
+    whole = spark.createDataFrame(rows, schema)
+    half = rows[100][2]
+    early = whole.filter(f"at_ms < {half}")
+    for i, part in enumerate(([r for r in rows if half <= r[2] < rows[150][2]], [r for r in rows if r[2] >= rows[150][2]])):
+        pd.DataFrame(part, columns=["service", "call_id", "at_ms", "failed", "trips"]).to_parquet(tmp_path / f"{i}.parquet")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("latestFirst", "false").parquet(str(tmp_path))
+    before = spark.createDataFrame(op.breaker_ends(early, settings).collect(), "service string, kind int, amount bigint")
+    out = breaker_stream(stream, settings, before).writeStream.format("memory").queryName("breaker_on").option("checkpointLocation", str(tmp_path / "cp"))
+    out.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    got = {(r.call_id, r.state, r.allowed) for r in spark.table("breaker_on").collect()}
+    want = {(r.call_id, r.state, r.allowed) for r in op.breaker_replay(whole, settings).filter(f"at_ms >= {half}").collect()}
+    assert got == want and len(got) >= 99

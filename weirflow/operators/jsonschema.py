@@ -8,12 +8,15 @@ Supported keywords (draft 4): ``type``, ``required``, ``enum``, ``pattern``, ``m
 from __future__ import annotations
 
 import json
+import logging
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirflow.functions.once import compute_once
 
+log = logging.getLogger(__name__)
+
 # How the JSON types appear in schema_of_variant, and the format patterns.
 TYPE_PREFIXES = {
     "string": ("STRING",),
@@ -232,6 +235,7 @@ def load_schema(path: str | None) -> dict | None:
     spark = SparkSession.active()
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        log.warning("there is no schema file %s; messages of its topic are not checked against one", path)
         return None
     return json.loads(spark.read.text(path, wholetext=True).first()[0])
 

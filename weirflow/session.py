@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import logging
 import os
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
+log = logging.getLogger(__name__)
+
 # Settings the operators rely on.  All of them are runtime settings, so they can be applied to a
 # session that somebody else has built.
 RUNTIME_CONF = {
@@ -67,9 +72,34 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+KEEP_SCRATCH = "spark.weirflow.scratch.keep"
+_scratch: list[tuple[object, str]] = []  # Hadoop configuration and path
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder; never used twice."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder; never used twice.
+
+    What lies there when the program ends is deleted then, since results that are read lazily may need
+    it until the end; the setting ``spark.weirflow.scratch.keep`` = ``true`` keeps it.
+    """
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if spark.conf.get(KEEP_SCRATCH, "false").lower() != "true":
+        if not _scratch:
+            atexit.register(clear_scratch)
+        _scratch.append((spark._jsc.hadoopConfiguration(), path))
+    return path
+
+
+def clear_scratch() -> None:
+    """Delete the scratch files of this program's sessions.  Tables that were read from them are void then."""
+    gateway = SparkContext._gateway
+    while _scratch and gateway is not None:
+        conf, path = _scratch.pop()
+        try:
+            place = gateway.jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+        except Exception:  # noqa: BLE001  the JVM may be gone, and then nobody can delete anything
+            log.debug("scratch files stay at %s", path, exc_info=True)
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
