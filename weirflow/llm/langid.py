@@ -25,6 +25,8 @@ ORDERS = (1, 2, 3)
 PER_LANGUAGE = 1200
 UNKNOWN = "und"
 OUTPUT = ["lang_pred", "score"]
+TRIGRAMS = 1 << 18  # numbers that the trigrams of the stage are hashed to
+ODD = 1.5  # times the mean rareness that all but one in a hundred kept-out documents stay below
 EVIDENCE = 0.5  # of the least evidence of a kept-out document: what a text in a known language must have
 _BLOCK = 1 << 20  # characters hashed at a time
 
@@ -234,20 +236,82 @@ def learnable(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     return docs.filter(remainder(id_column, 3) != 1)
 
 
+# --- texts that are no language ------------------------------------------------------------------
+
+
+def trigrams(text: str) -> np.ndarray:
+    """Hashed trigrams of a whole text, lower-cased, with one blank for white space and at either end."""
+    codes = np.frombuffer(f" {' '.join(text.lower().split())} ".encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    mixed = np.zeros(max(0, len(codes) - 2), np.uint32)
+    for k in range(3):
+        mixed = (mixed ^ codes[k : k + len(mixed)]) * np.uint32(0x9E3779B1)
+        mixed ^= mixed >> np.uint32(15)
+    return mixed % np.uint32(TRIGRAMS)
+
+
+def rareness(text: str, idf: np.ndarray) -> float:
+    """The mean rareness of a text's trigrams; of a text without one, that of a trigram never seen."""
+    found = trigrams(text)
+    return float(idf[found].mean()) if len(found) else float(idf.max())
+
+
+def _trigram_frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    seen, rows = np.zeros(TRIGRAMS, np.int64), 0
+    for batch in batches:
+        for text in batch["text"]:
+            seen[np.unique(trigrams(text))] += 1
+            rows += 1
+    index = np.flatnonzero(seen)
+    yield pd.DataFrame({"feature": np.append(index, -1), "n": np.append(seen[index], rows)})
+
+
+def oddity(docs: DataFrame, text: str = "text", lang: str = "lang", id_column: str = "doc_id") -> tuple[np.ndarray, float]:
+    """Rareness of each trigram in the documents that may be learned from, and the mean rareness beyond which a text is
+    odd: ``ODD`` times the value that 99 in a hundred of the labelled documents kept out of learning stay below,
+    so that no single document sets it.  Without such documents nothing is odd.
+
+    Each task sends at most ``TRIGRAMS`` + 1 sums, and the driver keeps ``TRIGRAMS`` numbers.
+    """
+    usable = docs.filter(F.col(lang).isNotNull() & F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))).select(F.col(id_column).alias("id"), F.col(text).alias("text"))
+    counted = learnable(usable, "id").select("text").mapInPandas(_trigram_frequencies, "feature int, n bigint").groupBy("feature").agg(F.sum("n").alias("n")).collect()
+    df, rows = np.zeros(TRIGRAMS), 0
+    for feature, n in counted:
+        if feature < 0:
+            rows = n
+        else:
+            df[feature] = n
+    idf = np.log((1 + rows) / (1 + df)) + 1
+    held = sent(docs.sparkSession, idf)
+
+    @F.pandas_udf("double")
+    def rare(column: pd.Series) -> pd.Series:
+        return pd.Series([rareness(t, held()) for t in column], dtype=float)
+
+    kept_out = usable.filter(remainder("id", 3) == 1).select(rare("text").alias("r"))
+    common = kept_out.agg(F.percentile_approx("r", 0.99, 10_000)).first()[0] if rows else None
+    return idf, float("inf") if common is None else ODD * common
+
+
 def drop_unknown(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """``docs`` without the texts that are in no language: null, without a letter, or with less than
-    ``EVIDENCE`` of the least evidence that the model has for any of the documents kept out of its
-    training; same columns.
+    """``docs`` without the texts that are in no language; same columns.  These are
+
+    * null texts and texts without a letter,
+    * odd texts, whose trigrams are much rarer than those of documents in the languages (see :func:`oddity`), and
+    * texts with less than ``EVIDENCE`` of the least evidence that the model has for any of the documents
+      kept out of its training.
 
     The calibrated score cannot decide, since it is near one for noise too where the languages are far
-    apart.  If no language was learned (no labelled row), or one only, every text with a letter stays.
+    apart.  If no language was learned (no labelled row), or one only, every text with a letter stays
+    that is not odd.
     """
     model = train(learnable(docs, id_column), text, lang, id_column)
-    held = sent(docs.sparkSession, model)
+    idf, odd = oddity(docs, text, lang, id_column)
+    held = sent(docs.sparkSession, (model, idf, odd))
 
     @F.pandas_udf("boolean")
     def knows(column: pd.Series) -> pd.Series:
-        return pd.Series([held().knows(t) for t in column], dtype=bool)
+        known, rare, limit = held()
+        return pd.Series([known.knows(t) and rareness(t, rare) <= limit for t in column], dtype=bool)
 
     known = f"{own_prefix(docs)}known"
     return docs.withColumn(known, knows(F.col(text))).filter(F.col(known)).select(*docs.columns)
