@@ -26,7 +26,7 @@ PER_LANGUAGE = 1200
 UNKNOWN = "und"
 OUTPUT = ["lang_pred", "score"]
 TRIGRAMS = 1 << 18  # numbers that the trigrams of the stage are hashed to
-ODD = 1.5  # times the mean rareness that all but one in a hundred kept-out documents stay below
+ODD = 0.5  # of the way from the rareness that 99 in a hundred kept-out documents stay below to that of trigrams never seen
 EVIDENCE = 0.5  # of the least evidence of a kept-out document: what a text in a known language must have
 _BLOCK = 1 << 20  # characters hashed at a time
 
@@ -266,9 +266,10 @@ def _trigram_frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFra
 
 
 def oddity(docs: DataFrame, text: str = "text", lang: str = "lang", id_column: str = "doc_id") -> tuple[np.ndarray, float]:
-    """Rareness of each trigram in the documents that may be learned from, and the mean rareness beyond which a text is
-    odd: ``ODD`` times the value that 99 in a hundred of the labelled documents kept out of learning stay below,
-    so that no single document sets it.  Without such documents nothing is odd.
+    """Rareness of each trigram in the documents that may be learned from, and the mean rareness beyond which a
+    text is odd: ``ODD`` of the way from the value that 99 in a hundred of the labelled documents kept out
+    of learning stay below, so that no single document sets it, to that of a text of trigrams that were
+    never seen.  Without such documents nothing is odd.
 
     Each task sends at most ``TRIGRAMS`` + 1 sums, and the driver keeps ``TRIGRAMS`` numbers.
     """
@@ -289,7 +290,8 @@ def oddity(docs: DataFrame, text: str = "text", lang: str = "lang", id_column: s
 
     kept_out = usable.filter(remainder("id", 3) == 1).select(rare("text").alias("r"))
     common = kept_out.agg(F.percentile_approx("r", 0.99, 10_000)).first()[0] if rows else None
-    return idf, float("inf") if common is None else ODD * common
+    unseen = float(np.log(1 + rows) + 1)
+    return idf, float("inf") if common is None else common + ODD * max(0.0, unseen - common)
 
 
 def drop_unknown(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
