@@ -26,6 +26,7 @@ DAMPING = 0.85
 ROUNDS = 8  # rounds between two looks at what has changed
 TOLERANCE = 1e-8  # largest change of a rank over these rounds, as a share of the rank
 THRESHOLD = 0.5
+STEPS_PER_TASK = 200_000  # edges that one task of a round follows
 SLACK = 1e-6  # shares this close to the threshold, in parts of them, have reached it
 OUTPUT = ["host", "path", "rule", "verdict", "trust", "distrust"]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -86,6 +87,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE,
     steps = forward.union(backward)
     degree = steps.groupBy("kind", "host").agg(F.count("*").alias("n"))
     weighted = write_table(steps.join(degree, ["kind", "host"]).select("kind", "host", "to", (1 / F.col("n")).alias("w")), "url-edges")
+    tasks = max(1, weighted.count() // STEPS_PER_TASK)  # many short rounds: no more tasks and files than their rows need
     total = seeds.groupBy("kind").agg(F.sum("weight").alias("all"))
     start = write_table(seeds.join(total, "kind").select("kind", "host", (F.col("weight") / F.col("all")).alias("r")), "url-seeds")
     ranks = start
@@ -93,7 +95,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE,
         before, later = ranks, ranks
         for _ in range(ROUNDS):
             moved = later.join(weighted, ["kind", "host"]).select("kind", F.col("to").alias("host"), (F.col("r") * F.col("w") * damping).alias("r"))
-            later = moved.union(start.select("kind", "host", F.col("r") * (1 - damping))).groupBy("kind", "host").agg(F.sum("r").alias("r"))
+            both = moved.union(start.select("kind", "host", F.col("r") * (1 - damping))).coalesce(tasks)
+            later = both.groupBy("kind", "host").agg(F.sum("r").alias("r")).coalesce(tasks)
         ranks = write_table(later, "url-ranks")
         old = before.select("kind", "host", F.col("r").alias("old"))
         change = ranks.join(old, ["kind", "host"], "left").agg(F.max(F.abs(F.col("r") - F.coalesce("old", F.lit(0.0))) / F.col("r"))).first()[0]
