@@ -84,14 +84,16 @@ def _with_destination(rows: DataFrame, topics: list[TopicConfig]) -> DataFrame:
     return rows.join(names, "_kafka_topic")
 
 
-def _write_group(messages: DataFrame, root: str, batch_id: int, topics: list[TopicConfig], now: dt.datetime) -> tuple[DataFrame, DataFrame]:
-    """Write the accepted rows of a group of topics; the dead letters, and what is to be freed after them."""
+def _write_group(messages: DataFrame, root: str, batch_id: int, topics: list[TopicConfig], now: dt.datetime, kept: list[DataFrame]) -> DataFrame:
+    """Write the accepted rows of a group of topics and return its dead letters; what is to be freed after
+    them is added to ``kept``."""
     one = topics[0]
     mine = deduplicated(messages.filter(F.col("topic").isin([t.topic for t in topics])), one.processing.dedup)
     checked = _kept_parts(checked_messages(mine, one, now)).persist(StorageLevel.MEMORY_AND_DISK)
+    kept.append(checked)
     rows = _with_destination(table_rows(accepted(checked), one, now), topics).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
     write_partitions(rows, root, (DESTINATION, BATCH, *one.destination.partition_columns), one.destination.file_format)
-    return dlq_envelope(rejected(checked), now), checked
+    return dlq_envelope(rejected(checked), now)
 
 
 def write_messages(
@@ -113,15 +115,13 @@ def write_messages(
     """
     now = as_of or batch_clock(messages)
     groups = destination_groups(topics)
-    letters, kept = [dlq_envelope(unrouted(route(messages, topics)), now)], []
+    letters = [dlq_envelope(unrouted(route(messages, topics)), now)]
+    kept: list[DataFrame] = []
     try:
         with ThreadPoolExecutor(max(1, min(len(groups), KINDS_AT_ONCE))) as pool:
-            work = inheritable_thread_target(messages.sparkSession)(lambda group: _write_group(messages, root, batch_id, group, now))
+            work = inheritable_thread_target(messages.sparkSession)(lambda group: _write_group(messages, root, batch_id, group, now, kept))
             done = [pool.submit(work, group) for group in groups]
-        for future in done:
-            rejects, checked = future.result()
-            letters.append(rejects)
-            kept.append(checked)
+        letters += [future.result() for future in done]
         write_batch(reduce(DataFrame.unionByName, letters), f"{root.rstrip('/')}/{DLQ_PATH}", ("dlq_topic",), batch_id)
         if not counted:
             return []
