@@ -3,8 +3,10 @@
 import pytest
 from conftest import NOW
 from pyspark.sql import functions as F
-from weirflow.config import COMMERCE_EVENTS, ORDER_EVENTS
+from weirflow.config import COMMERCE_EVENTS, DEFAULT_TOPICS, ORDER_EVENTS
+from weirflow.functions import sides
 from weirflow.operators import dedup, sinks
+from weirflow.operators.route import route
 from weirflow.operators.rules import accepted
 from weirflow.plans.flow import accepted_rows, checked_messages
 from weirflow.sources.envelopes import ENVELOPE, file_batch
@@ -29,6 +31,16 @@ def test_one_parse_and_no_shuffle(landing):
         assert "Exchange" not in text and "Python" not in text
 
 
+def test_routing_moves_no_message_while_topics_are_few(landing, monkeypatch):
+    text = plan(route(landing))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+    rows = sorted(route(landing).select("topic", "table_name").collect())
+    monkeypatch.setattr(sides, "SMALL_ROWS", len(DEFAULT_TOPICS) - 1)
+    text = plan(route(landing))
+    assert "BroadcastHashJoin" not in text and "Exchange hashpartitioning" in text
+    assert sorted(route(landing).select("topic", "table_name").collect()) == rows
+
+
 def test_topic_filter_reaches_the_scan(landing):
     text = plan(checked_messages(landing, COMMERCE_EVENTS, NOW).filter(F.col("topic") == COMMERCE_EVENTS.topic))
     assert "EqualTo(topic,commerce.events.v1)" in text

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weirflow.config import DEFAULT_TOPICS, DESTINATION, TopicConfig
+from weirflow.functions.sides import small_side
 from weirflow.operators.dedup import deduplicated
 from weirflow.operators.dlq import dlq_envelope, unrouted
 from weirflow.operators.enrich import table_rows
@@ -77,11 +78,11 @@ def destination_groups(topics: tuple[TopicConfig, ...]) -> list[list[TopicConfig
 
 
 def _with_destination(rows: DataFrame, topics: list[TopicConfig]) -> DataFrame:
-    """Table rows of ``topics`` with the name of their table; Spark picks the join by the number of topics."""
+    """Table rows of ``topics`` with the name of their table."""
     if len(topics) == 1:
         return rows.withColumn(DESTINATION, F.lit(topics[0].destination.table_name))
     names = rows.sparkSession.createDataFrame([(t.topic, t.destination.table_name) for t in topics], f"_kafka_topic string, {DESTINATION} string")
-    return rows.join(names, "_kafka_topic")
+    return rows.join(small_side(names, len(topics)), "_kafka_topic")
 
 
 def _write_group(messages: DataFrame, root: str, batch_id: int, topics: list[TopicConfig], now: dt.datetime, kept: list[DataFrame]) -> DataFrame:
