@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import pytest
 from helpers import docs_of
+from weirflow.llm import sharding
 from weirflow.llm.sharding import assign, capacities, place, ring, shard_report
 
 
@@ -69,6 +70,18 @@ def test_repeated_rows_null_ids_and_clashing_names(spark):
     check(rows, 8)
 
 
+def test_hot_cells_are_ranked_over_many_tasks_with_the_same_places(spark, monkeypatch):
+    ids = [7] * 200 + [None] * 150 + list(range(100, 250))
+    texts = ["same"] * 120 + [f"of seven {k}" for k in range(80)] + [None] * 50 + [f"no id {k % 60}" for k in range(100)] + [f"t{k}" for k in range(150)]
+    docs = docs_of(spark, texts, ids=ids).withColumnRenamed("source", "_chunk").withColumnRenamed("n_chars", "_salt")
+    place_of = lambda d: sorted((r.doc_id or -1, r.text or "", r.shard, r.slot) for r in assign(d, 6).collect())
+    whole = place_of(docs)
+    monkeypatch.setattr(sharding, "HOT_ROWS", 20)
+    assert place_of(docs) == whole and len(whole) == len(texts)
+    check(assign(docs, 6).collect(), 6)
+    assert assign(docs, 6).columns == [*docs.columns, "shard", "slot"]
+
+
 def test_few_rows_and_none(spark):
     check(assign(docs_of(spark, ["a", "b"]), 5).collect(), 5)
     assert assign(docs_of(spark, []), 5).count() == 0

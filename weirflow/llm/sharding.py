@@ -5,7 +5,8 @@ its id, and if that shard is full, on clockwise to the first one that is not.  R
 order.  That order is followed on counts, not on rows: the ring is cut into ``BINS * PARTS`` cells of
 fixed number, Spark counts the rows of each cell, the walk over the counts says which ranks of a cell
 go to which shard, and each row finds its rank in its own cell.  What the driver holds is bounded by
-the number of cells, whatever the input; a cell is a few ten-thousandths of the rows.
+the number of cells, whatever the input; a cell is a few ten-thousandths of the rows.  Where one id holds
+many rows, and its cells more than ``HOT_ROWS``, their rows are ranked over many tasks.
 """
 
 from __future__ import annotations
@@ -18,12 +19,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import own_prefix, texts, without
+from weirflow.llm.common import own_prefix, texts, without, write_table
 
 SHARDS = 40
 VIRTUAL = 16
 BINS = 1 << 14
 PARTS = 4  # rows of one id that differ in content spread over so many cells
+HOT_ROWS = 1_000_000  # rows that one task ranks
 OUTPUT = ["shard", "slot"]
 
 
@@ -73,6 +75,21 @@ def place(cells: list[tuple[int, int, int]], shards: int, slack: float = 0.0, vi
     return pieces
 
 
+def _hot_ranks(rows: DataFrame, cell: list[str], order: list[str], p: str, chunks: int) -> DataFrame:
+    """``rows`` with their rank in their cell, where a cell is too large for a task: ranges of the order,
+    each ranked on its own after the rows of those before it.  Equal rows are told apart by a salt, which is
+    written first, so that a task that runs again finds the same one."""
+    salt, chunk, n, before = f"{p}salt", f"{p}chunk", f"{p}n", f"{p}before"
+    salted = write_table(rows.withColumn(salt, F.xxhash64(F.monotonically_increasing_id())), "shard-hot")
+    dealt = write_table(salted.repartitionByRange(chunks, *cell, *order, salt).withColumn(chunk, F.spark_partition_id()), "shard-chunks")
+    earlier = Window.partitionBy(*cell).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy(*cell, chunk).agg(F.count("*").alias(n))
+    offsets = counts.select(*cell, chunk, F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(before))
+    inside = Window.partitionBy(*cell, chunk).orderBy(*order, salt)
+    ranked = dealt.join(offsets, [*cell, chunk]).withColumn(f"{p}rank", F.col(before) + F.row_number().over(inside))
+    return ranked.drop(salt, chunk, before)
+
+
 def assign(docs: DataFrame, shards: int = SHARDS, id_column: str = "doc_id", text: str = "text", slack: float = 0.0, virtual: int = VIRTUAL) -> DataFrame:
     """``docs`` with ``shard`` (from 0) and ``slot`` (gapless from 0 in each shard).
 
@@ -92,8 +109,13 @@ def assign(docs: DataFrame, shards: int = SHARDS, id_column: str = "doc_id", tex
     cells = [tuple(r) for r in placed.groupBy(*cell).count().collect()]  # at most BINS * PARTS rows
     pieces = pd.DataFrame(place(cells, shards, slack, virtual), columns=[*cell, f"{p}from", f"{p}to", "shard", f"{p}slot"])
     table = docs.sparkSession.createDataFrame(pieces, f"{p}bin int, {p}part int, {p}from bigint, {p}to bigint, shard int, {p}slot bigint")
-    inside = Window.partitionBy(*cell).orderBy(f"{p}order", id_column)
-    ranked = placed.withColumn(f"{p}rank", F.row_number().over(inside).cast("bigint"))
+    order = [f"{p}order", id_column]
+    hot = {b * PARTS + part: n for b, part, n in cells if n > HOT_ROWS}
+    is_hot = (F.col(cell[0]) * PARTS + F.col(cell[1])).isin(list(hot))
+    inside = Window.partitionBy(*cell).orderBy(*order)
+    ranked = (placed.filter(~is_hot) if hot else placed).withColumn(f"{p}rank", F.row_number().over(inside).cast("bigint"))
+    if hot:
+        ranked = ranked.unionByName(_hot_ranks(placed.filter(is_hot), cell, order, p, math.ceil(sum(hot.values()) / HOT_ROWS)))
     here = F.col(f"{p}rank").between(F.col(f"{p}from"), F.col(f"{p}to"))
     # At most BINS * PARTS + shards rows of 40 bytes: small enough to broadcast at any size of input.
     joined = ranked.join(F.broadcast(table), cell).filter(here)
