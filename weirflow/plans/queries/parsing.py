@@ -190,9 +190,10 @@ def cob_fill_json(spark: SparkSession, sf_dir: str) -> DataFrame:
       CASE WHEN event_id % 5 > 2 THEN user_id * 65537 END AS schema_id, CASE WHEN event_id % 5 > 2 THEN event_type END AS body FROM events""",
 )
 def wire_header(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events framed as a registry client frames them; some frames are broken."""
+    """Events framed as a registry client frames them; some frames are broken.  A header holds the low four
+    bytes of an id, as ``ByteBuffer.putInt`` writes them."""
     n = F.col("event_id")
-    number = F.lpad(F.hex(F.col("user_id") * 65537), 8, "0")
+    number = F.right(F.lpad(F.hex(F.col("user_id") * 65537), 16, "0"), F.lit(8))
     frame = lambda magic: F.base64(F.unhex(F.concat(F.lit(magic), number, F.hex(F.encode("event_type", "UTF-8")))))
     value = F.when(n % 5 == 0, F.base64(F.unhex(F.lit("0000")))).when(n % 5 == 1, frame("01")).when(n % 5 == 2, F.lit('{"not":"base64"}')).otherwise(frame("00"))
     framed = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", value.alias("value"))
