@@ -22,7 +22,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by 0.8 or more of their five-word shingles the one with the least doc_id stays."""
+    """Of documents linked by 0.8 or more of their five-word shingles the one with the least doc_id stays.
+    Candidates are the groups of SimHash fingerprints within two bits, and sets that share a MinHash key."""
     return simhash.drop_near(docs, shingle=NEAR_WORDS, similarity=NEAR_SIMILARITY)
 
 

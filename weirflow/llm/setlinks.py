@@ -35,8 +35,8 @@ SKETCH_BITS = 1024
 travels(__name__)
 
 
-def shingle_set(text: str, shingle: int, seed: int = SEED) -> np.ndarray:
-    """The sorted distinct XXH64 of the word shingles of one whole text: A-Z lower-cased, words between
+def shingle_hashes(text: str, shingle: int, seed: int = SEED) -> np.ndarray:
+    """The XXH64 of the word shingles of one whole text, repeats included: A-Z lower-cased, words between
     white space of ASCII; with fewer words the whole sequence is one shingle, without words there is none."""
     words = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and the white space of ASCII only
     if not words:
@@ -47,7 +47,12 @@ def shingle_set(text: str, shingle: int, seed: int = SEED) -> np.ndarray:
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = [0, *ends[: len(words) - shingle].tolist()]
     stops = (ends[shingle - 1 :] - 1).tolist()
-    return np.unique(np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts, stops)), np.uint64, len(starts)))
+    return np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts, stops)), np.uint64, len(starts))
+
+
+def shingle_set(text: str, shingle: int, seed: int = SEED) -> np.ndarray:
+    """The sorted distinct hashes of :func:`shingle_hashes`."""
+    return np.unique(shingle_hashes(text, shingle, seed))
 
 
 def odd_sketch(own: np.ndarray) -> np.ndarray:
