@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import texts, travels, without, worker_store
+from weirflow.llm.common import made_once, texts, travels, without
 
 FILE = "byte_bpe_50k.json"
 # How vocabularies of this kind cut texts into words (the commonest alternative first).
@@ -324,19 +324,11 @@ class Encoder:
 
 def worker_vocabulary(text: str) -> Vocabulary:
     """The vocabulary, built once in a worker."""
-    store = worker_store("vocabularies")
-    key = hash(text)
-    if key not in store:
-        store[key] = Vocabulary(text)
-    return store[key]
+    return made_once(("vocabulary", hash(text)), lambda: Vocabulary(text))
 
 
 def worker_encoder(text: str) -> Encoder:
-    store = worker_store("encoders")
-    key = hash(text)
-    if key not in store:
-        store[key] = Encoder(worker_vocabulary(text))
-    return store[key]
+    return made_once(("encoder", hash(text)), lambda: Encoder(worker_vocabulary(text)))
 
 
 def encoder_udf(spark: SparkSession, path: str | None = None):

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import gc
 import pickle
 import sys
 import types
 import uuid
 from collections.abc import Callable
 
-from pyspark import cloudpickle
+import pyarrow as pa
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,18 +28,29 @@ def worker_store(name: str) -> dict:
     return holder.__dict__.setdefault(name, {})
 
 
+def made_once(key: object, make: Callable[[], object]) -> object:
+    """What ``make`` gives, made once in a worker.  Before something new is made, what earlier tasks have left
+    and this one has not asked for goes, so a worker that serves many stages holds the things of one."""
+    store, context = worker_store("things"), TaskContext.get()
+    task = context.taskAttemptId() if context else None
+    if key not in store:
+        for old in [k for k, (_, last) in store.items() if last != task]:
+            del store[old]
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        store[key] = (make(), task)
+    thing = store[key][0]
+    store[key] = (thing, task)
+    return thing
+
+
 def sent(spark: SparkSession, thing: object) -> Callable[[], object]:
     """``thing`` as a broadcast that brings the code of its class along; what is returned gives it back
-    in a task.  A worker unpacks it once and holds the last ones that it met."""
+    in a task.  A worker unpacks it once (see :func:`made_once`)."""
     held, name = spark.sparkContext.broadcast(cloudpickle.dumps(thing)), uuid.uuid4().hex
 
     def received() -> object:
-        store = worker_store("things")
-        if name not in store:
-            while len(store) > 1:
-                store.pop(next(iter(store)))
-            store[name] = pickle.loads(held.value)
-        return store[name]
+        return made_once(name, lambda: pickle.loads(held.value))
 
     return received
 
@@ -47,7 +60,7 @@ travels(__name__)
 
 # Rows and bytes that go to a Python worker at a time: texts are long, and their ids and window
 # features longer.
-BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "2m"}
 
 
 def prepared(spark: SparkSession) -> SparkSession:
