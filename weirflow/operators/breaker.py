@@ -25,6 +25,7 @@ for _module in (b, sys.modules[__name__]):
     cloudpickle.register_pickle_by_value(_module)
 
 ORDER = ["service", "at_ms", "call_id"]
+CALLS_PER_CHUNK = 50_000  # a chunk is one frame of a Python worker, with lists and states beside it
 
 _SUMMARY = (
     f"service string, {CHUNK} int, kinds array<int>, amounts array<bigint>, "
@@ -95,7 +96,7 @@ def breaker_replay(calls: DataFrame, settings: b.BreakerSettings = b.SERVICE_BRE
 
 def _started(calls: DataFrame, settings: b.BreakerSettings, chunks: int | None, before: DataFrame | None):
     trips = F.col("trips") if "trips" in calls.columns else F.lit(True)
-    placed = range_chunks(calls.select("service", "call_id", "at_ms", "failed", trips.alias("trips")), ORDER, chunks)
+    placed = range_chunks(calls.select("service", "call_id", "at_ms", "failed", trips.alias("trips")), ORDER, chunks, CALLS_PER_CHUNK)
     by_chunk = placed.groupBy("service", CHUNK)
     summaries = by_chunk.applyInPandas(_summariser(settings), _SUMMARY)
     known = before if before is not None else calls.sparkSession.createDataFrame([], _STATE)
