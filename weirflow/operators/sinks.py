@@ -41,9 +41,10 @@ def read_table(spark: SparkSession, path: str, file_format: str = "parquet", mer
 
 
 def write_jsonl(df: DataFrame, path: str, partition_columns: tuple[str, ...], text: str = "record") -> None:
-    """JSON Lines files of ready-made text below ``<column>=<value>/`` directories."""
+    """JSON Lines files of ready-made text below ``<column>=<value>/`` directories, packed by gzip; readers of
+    JSON unpack them by their name."""
     lines = df.select(*partition_columns, F.col(text).alias("value")).hint("rebalance", *partition_columns)
-    lines.write.mode("append").partitionBy(*partition_columns).text(path)
+    lines.write.mode("append").option("compression", "gzip").partitionBy(*partition_columns).text(path)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
