@@ -104,8 +104,11 @@ def ingest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, root, checkpoint = (scratch_path(spark, n) for n in ("landing", "lake", "offsets"))
     messages = stored(src.user_event_envelopes(spark, sf_dir).unionByName(src.page_event_envelopes(spark, sf_dir)), "messages")
     for part in range(2):
-        messages.filter(F.col("offset") % 2 == part).repartition(2).write.mode("append").parquet(landing)
-        stream = src.file_stream(spark, landing, max_files=1)
+        before = len(spark.read.schema(src.ENVELOPE).parquet(landing).inputFiles()) if part else 0
+        # As many files as the messages need, so that no few tasks write or read them; a run takes half of them at a time.
+        messages.filter(F.col("offset") % 2 == part).hint("rebalance").write.mode("append").parquet(landing)
+        landed = len(spark.read.schema(src.ENVELOPE).parquet(landing).inputFiles()) - before
+        stream = src.file_stream(spark, landing, max_files=max(1, -(-landed // 2)))
         ingest(stream, root, checkpoint, (USER_EVENTS,), AS_OF, ALL_AVAILABLE).awaitTermination()
     runs = ledger.run_results(spark, root).groupBy("topic", "success").agg(F.sum("processed").alias("processed"), F.sum("failed").alias("failed"))
     rows = sinks.read_table(spark, USER_EVENTS.destination.location(root)).groupBy(F.col("_kafka_topic").alias("topic")).agg(F.count("*").alias("table_rows"))
