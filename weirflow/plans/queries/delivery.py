@@ -160,7 +160,7 @@ def dedup_against_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four jobs over deliveries that overlap: the first has two thirds of the messages, the others have all,
     the third one laid out in another way; the last one comes when the index has forgotten the others."""
     index = scratch_path(spark, "index")
-    messages = src.user_events_with_replays(spark, sf_dir).drop("delivery", "headers")
+    messages = stored(src.user_events_with_replays(spark, sf_dir).drop("delivery", "headers"), "deliveries")
     loose = F.when(F.col("value").endswith("}") & F.try_parse_json("value").isNotNull(), F.concat(F.lit(" "), "value", F.lit("\n"))).otherwise(F.col("value"))
     jobs = (
         (messages.filter(F.col("offset") % 3 != 0), AS_OF),
