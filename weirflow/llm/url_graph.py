@@ -90,16 +90,24 @@ def propagate(edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE,
     tasks = max(1, weighted.count() // STEPS_PER_TASK)  # many short rounds: no more tasks and files than their rows need
     total = seeds.groupBy("kind").agg(F.sum("weight").alias("all"))
     start = write_table(seeds.join(total, "kind").select("kind", "host", (F.col("weight") / F.col("all")).alias("r")), "url-seeds")
+
+    def beside(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+        """Joined by host.  Where one task does a round it merges both sides there: a broadcast each round would
+        pass through the driver, and what hundreds of them leave there outgrows its memory."""
+        if tasks > 1:
+            return left.join(right, ["kind", "host"], how)
+        return left.coalesce(1).join(right.coalesce(1).hint("merge"), ["kind", "host"], how)
+
     ranks = start
     for _ in count():
         before, later = ranks, ranks
         for _ in range(ROUNDS):
-            moved = later.join(weighted, ["kind", "host"]).select("kind", F.col("to").alias("host"), (F.col("r") * F.col("w") * damping).alias("r"))
+            moved = beside(later, weighted).select("kind", F.col("to").alias("host"), (F.col("r") * F.col("w") * damping).alias("r"))
             both = moved.union(start.select("kind", "host", F.col("r") * (1 - damping))).coalesce(tasks)
             later = both.groupBy("kind", "host").agg(F.sum("r").alias("r")).coalesce(tasks)
         ranks = write_table(later, "url-ranks")
         old = before.select("kind", "host", F.col("r").alias("old"))
-        change = ranks.join(old, ["kind", "host"], "left").agg(F.max(F.abs(F.col("r") - F.coalesce("old", F.lit(0.0))) / F.col("r"))).first()[0]
+        change = beside(ranks, old, "left").agg(F.max(F.abs(F.col("r") - F.coalesce("old", F.lit(0.0))) / F.col("r"))).first()[0]
         if change is None or change <= tolerance:
             break
     whole = ranks.groupBy("kind").agg(F.sum("r").alias("all"))
