@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weirflow.config import TopicConfig
+from weirflow.functions.once import compute_once
 from weirflow.functions.times import DAY_MS, as_of_millis, as_of_timestamp, cob_date, event_time, iso_text
-from weirflow.functions.values import is_json_object
+from weirflow.functions.values import BLANKS, is_json_object
 from weirflow.operators.rules import _field, with_numbers, without_numbers
 
 # Fixed values of the scoring and priority rules.
@@ -150,18 +151,21 @@ def with_record_metadata(df: DataFrame, as_of: dt.datetime) -> DataFrame:
     remains.
     """
     meta = F.to_json(record_metadata(as_of))
-    text = F.trim("value")
+    bare = F.col("value").startswith("{") & F.col("value").endswith("}")
+    text = F.when(bare, F.col("value")).otherwise(F.trim("value", F.lit(BLANKS)))
     is_object = is_json_object(F.col("value"), F.try_parse_json("value"))
-    members = F.substring(text, F.lit(2), F.length(text) - 2)
+    # Between the braces, cut by bytes: characters would have to be counted.
+    members = F.substring(text.cast("binary"), F.lit(2), F.octet_length(text) - 2).cast("string")
     # {"original_value":"..."}: the text ends in a quote, so only the closing brace is trimmed.
     original = F.to_json(F.struct(F.col("value").alias("original_value")))
     head = (
         F.when(F.col("value").isNull(), F.lit("{"))
-        .when(is_object & (F.trim(members) == ""), F.lit("{"))
-        .when(is_object, F.concat(F.lit("{"), members, F.lit(",")))
+        # One branch asks whether it is an object: each that does parses the value again.
+        .when(is_object, F.when(text.rlike(r"^\{[ \t\r\n]*\}\z"), F.lit("{")).otherwise(F.concat(F.lit("{"), members, F.lit(","))))
         .otherwise(F.concat(F.rtrim(original, F.lit("}")), F.lit(",")))
     )
-    return df.withColumn("record", F.concat(head, F.lit('"_metadata":'), meta, F.lit("}")))
+    # Computed apart from what reads it: inside a from_json Spark would interpret it row by row.
+    return compute_once(df, {"record": F.concat(head, F.lit('"_metadata":'), meta, F.lit("}"))})
 
 
 METADATA_TYPE = T.StructType(
