@@ -28,7 +28,7 @@ def trimmed(text: Column) -> Column:
 
 def is_blank(text: Column) -> Column:
     """Nothing but blanks and control characters; decided at the first other character."""
-    return text.rlike(r"^[\x00-\x20]*\z")
+    return (text < "!") & text.rlike(r"^[\x00-\x20]*\z")
 
 
 def is_json_object(text: Column, parsed: Column) -> Column:
