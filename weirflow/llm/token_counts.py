@@ -145,7 +145,7 @@ class PrefixCounter:
         out, group, size = [], [], 0
 
         def close() -> None:
-            table = self.lookup({u for units in group for u in units})
+            table = self.lookup(set().union(*group))
             found = (b"".join(map(table.__getitem__, units)) for units in group)
             out.extend(found if keep else map(tokens_in, found))
             group.clear()
