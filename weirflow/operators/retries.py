@@ -23,7 +23,9 @@ from weirflow.session import stored
 
 ROUND = "round"
 ACCEPTED, FAILING, GIVEN_UP = "accepted", "still_failing", "given_up"
+OUTCOMES = (ACCEPTED, FAILING, GIVEN_UP)
 LETTER = ["original_topic", "original_partition", "original_offset"]
+SORTED = LETTER[::-1]  # letters are sorted by what tells them apart first, not by a topic that most share
 _LEDGER = f"original_topic string, original_partition int, original_offset bigint, attempt int, outcome string, due_ms bigint, {ROUND} int"
 
 
@@ -40,17 +42,19 @@ def ledger_rows(spark: SparkSession, ledger: str, before_round: int | None = Non
 
 def last_attempts(rows: DataFrame) -> DataFrame:
     """The last row of each letter."""
-    last = F.max_by(F.struct("attempt", "outcome", "due_ms"), F.col("attempt"))
-    return rows.groupBy(*LETTER).agg(last.alias("last")).select(*LETTER, "last.*")
+    # Numbers only: of a text or a struct the rows would have to be sorted.
+    number = F.array_position(F.array(*map(F.lit, OUTCOMES)), F.col("outcome"))
+    last = rows.groupBy(*SORTED).agg(F.max("attempt").alias("attempt"), F.max_by(number, "attempt").alias("_n"), F.max_by("due_ms", "attempt").alias("due_ms"))
+    return last.select(*LETTER, "attempt", F.element_at(F.array(*map(F.lit, OUTCOMES)), F.col("_n").cast("int")).alias("outcome"), "due_ms")
 
 
 def due_letters(letters: DataFrame, rows: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Letters that are to be tried at ``as_of``, with ``attempt``, the number of this attempt."""
     last = last_attempts(rows)
     now = F.unix_millis(as_of_timestamp(as_of))
-    state = letters.join(last, LETTER, "left")
+    state = letters.join(last, SORTED, "left")
     due = F.col("attempt").isNull() | ((F.col("outcome") == FAILING) & (F.col("due_ms") <= now))
-    return state.filter(due).withColumn("attempt", F.coalesce("attempt", F.lit(0)) + 1).drop("outcome", "due_ms")
+    return state.filter(due).select(*letters.columns, (F.coalesce("attempt", F.lit(0)) + 1).alias("attempt"))
 
 
 def retry_round(letters: DataFrame, ledger: str, round_no: int, topic: TopicConfig, as_of: dt.datetime, max_retries: int | None = None) -> DataFrame:
@@ -62,7 +66,7 @@ def retry_round(letters: DataFrame, ledger: str, round_no: int, topic: TopicConf
     """
     limit = max_retries if max_retries is not None else topic.processing.max_retries
     spark = letters.sparkSession
-    mine = letters.filter(F.col("original_topic") == topic.topic).dropDuplicates(LETTER)
+    mine = letters.filter(F.col("original_topic") == topic.topic).dropDuplicates(SORTED)
     due = due_letters(mine, ledger_rows(spark, ledger, round_no), as_of)
     tried = reprocessed(due, topic, as_of, ["attempt"])
     failed = F.when(F.col("attempt") >= limit, GIVEN_UP).otherwise(FAILING)
@@ -72,7 +76,7 @@ def retry_round(letters: DataFrame, ledger: str, round_no: int, topic: TopicConf
     judged = stored(judged.withColumn("due_ms", F.when(F.col("outcome") == FAILING, wait)), "retry-round")
     names = {"topic": "original_topic", "partition": "original_partition", "offset": "original_offset"}
     rows = judged.select(*[F.col(a).alias(b) for a, b in names.items()], "attempt", "outcome", "due_ms", F.lit(round_no).alias(ROUND))
-    write_partitions(rows, ledger, (ROUND,))
+    write_partitions(rows, ledger, (ROUND,), gather=False)  # all are of one round: gathered they would be one task's
     return judged
 
 

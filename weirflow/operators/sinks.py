@@ -18,11 +18,14 @@ def write_batch(df: DataFrame, path: str, partition_columns: tuple[str, ...], ba
     write_partitions(df.withColumn(BATCH, F.lit(batch_id).cast("bigint")), path, (BATCH, *partition_columns), file_format)
 
 
-def write_partitions(df: DataFrame, path: str, columns: tuple[str, ...], file_format: str = "parquet") -> None:
-    """Write below ``<column>=<value>/`` directories; those of ``df`` replace what they held, others stay."""
+def write_partitions(df: DataFrame, path: str, columns: tuple[str, ...], file_format: str = "parquet", gather: bool = True) -> None:
+    """Write below ``<column>=<value>/`` directories; those of ``df`` replace what they held, others stay.
+
+    Rows are brought together by partition first, unless ``gather`` is false: then each task writes what it has.
+    """
+    gathered = df.hint("rebalance", *[c for c in columns if c != BATCH]) if gather else df
     (
-        df.hint("rebalance", *[c for c in columns if c != BATCH])
-        .write.mode("overwrite")
+        gathered.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*columns)
         .format(file_format)
