@@ -12,7 +12,6 @@ from weirflow.functions.values import INTEGER_TEXT
 # The accepted spellings of a point in time and of a business date.
 INSTANT_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?([Zz]|[+-][0-9]{2}:[0-9]{2})\z"
 LOCAL_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?\z"
-COB_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 
 DAY_MS = 24 * 60 * 60 * 1000
 
@@ -59,8 +58,14 @@ def timestamp_cascade(text: Column, as_of: dt.datetime) -> Column:
 
 
 def cob_date(cob: Column) -> Column:
-    """The business date if the text is a strict ISO date, else NULL."""
-    return F.when(cob.rlike(COB_TEXT), cob.try_cast("date"))
+    """The business date if the text is a strict ISO date, else NULL.
+
+    Of ten bytes with dashes at these places and a digit at the end, the cast takes just ``yyyy-MM-dd``: a look
+    at them costs less than a pattern.
+    """
+    at = lambda place: F.substring(cob, place, 1)
+    strict = (F.octet_length(cob) == 10) & (at(5) == "-") & (at(8) == "-") & at(10).between("0", "9")
+    return F.when(strict, cob.try_cast("date"))
 
 
 def event_time(millis: Column) -> Column:

@@ -90,6 +90,13 @@ def _quoted(c: Column) -> Column:
     return F.concat(F.lit('"'), c, F.lit('"'))
 
 
+def _padded(number: Column, width: int) -> Column:
+    """``%0<width>d`` of a number; only negative ones and null need Java's formatter, which costs several times as much."""
+    text = number.cast("string")
+    few = F.lpad(text, width, "0")
+    return F.when(number.isNull() | (number < 0), F.format_string(f"%0{width}d", number)).when(number < 10**width, few).otherwise(text)
+
+
 def _no_headers() -> Column:
     return F.create_map().cast("map<string,string>")
 
@@ -107,7 +114,7 @@ def user_event_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(iso)
     )
     user = F.when(n % 83 == 11, F.concat(F.lit("u"), "user_id")).otherwise(
-        F.format_string("user-%05d", "user_id")
+        F.concat(F.lit("user-"), _padded(F.col("user_id"), 5))
     )
     kind = F.when(n % 89 == 7, F.col("event_type")).otherwise(F.upper("event_type"))
     cob = (
@@ -206,7 +213,7 @@ def commerce_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     product = (
         F.when(part % 37 == 3, F.lit(None).cast("string"))
         .when(part % 31 == 4, F.concat(F.lit("p-"), part.cast("string")))
-        .otherwise(F.format_string("PROD-%06d", part))
+        .otherwise(F.concat(F.lit("PROD-"), _padded(part, 6)))
     )
     session = F.when(supp % 5 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("s-"), supp.cast("string")))
     body = F.to_json(
@@ -220,7 +227,7 @@ def commerce_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
             session.alias("session_id"),
             F.unix_millis((F.col("l_shipdate") + F.make_dt_interval(hours=(order % 24).cast("int"))).cast("timestamp")).alias("timestamp"),
             price.cast("string").alias("unit_price"),
-            F.format_string("user-%05d", order).alias("user_id"),
+            F.concat(F.lit("user-"), _padded(order, 5)).alias("user_id"),
         )
     )
     return li.select(
@@ -300,7 +307,7 @@ def page_event_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("event_id")
     iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS")
     user = F.when(n % 17 == 3, F.lit("")).when(n % 19 == 4, F.concat(F.lit(',"user_id":'), F.col("user_id").cast("string"))).otherwise(
-        F.concat(F.lit(',"user_id":'), _quoted(F.format_string("user-%05d", "user_id")))
+        F.concat(F.lit(',"user_id":'), _quoted(F.concat(F.lit("user-"), _padded(F.col("user_id"), 5))))
     )
     text = F.concat(
         F.lit('{"event_type":'),
