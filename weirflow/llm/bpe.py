@@ -17,6 +17,7 @@ import re
 from array import array
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from itertools import islice
 
 import numpy as np
@@ -25,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import made_once, texts, travels, without
+from weirflow.llm.common import give_back, made_once, texts, travels, without
 
 FILE = "byte_bpe_50k.json"
 # How vocabularies of this kind cut texts into words (the commonest alternative first).
@@ -182,6 +183,12 @@ class Vocabulary:
         self._follows: dict[int, bool] = {}
         self._made: dict[int, tuple | None] = {}
 
+    def forget(self) -> None:
+        """Leave only what the file says."""
+        self._ends.clear()
+        self._follows.clear()
+        self._made.clear()
+
     def merged(self, data: bytes) -> tuple[list[int], list[tuple[int, int]], list[tuple[int, int]]]:
         """The definition of the encoding: merge the pair of least rank, the leftmost first.
 
@@ -390,16 +397,27 @@ def worker_vocabulary(text: str) -> Vocabulary:
     return made_once(("vocabulary", hash(text)), lambda: Vocabulary(text))
 
 
-def worker_encoder(text: str) -> Encoder:
-    return made_once(("encoder", hash(text)), lambda: Encoder(worker_vocabulary(text)))
+@contextmanager
+def task_encoder(text: str) -> Iterator[Encoder]:
+    """An encoder for one task.  What it has met goes when the task ends, so a worker that waits for its next
+    task, or goes on to another stage, holds the vocabulary and no more."""
+    encoder = Encoder(worker_vocabulary(text))
+    try:
+        yield encoder
+    finally:
+        encoder.recent = None
+        encoder.vocabulary.forget()
+        give_back()
 
 
 def encoder_udf(spark: SparkSession, path: str | None = None):
     held = spark.sparkContext.broadcast(vocabulary_text(path))
 
     @F.pandas_udf("array<int>")
-    def encode(column: pd.Series) -> pd.Series:
-        return pd.Series(worker_encoder(held.value).encode(column.tolist()))
+    def encode(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        with task_encoder(held.value) as encoder:
+            for column in columns:
+                yield pd.Series(encoder.encode(column.tolist()))
 
     # Not to be repeated: an expression over the ids must not encode the text again.
     return encode.asNondeterministic()
@@ -410,7 +428,7 @@ def decoder_udf(spark: SparkSession, path: str | None = None):
 
     @F.pandas_udf("string")
     def decode(column: pd.Series) -> pd.Series:
-        encoder = worker_encoder(held.value)
+        encoder = Encoder(worker_vocabulary(held.value))
         return pd.Series([None if ids is None else encoder.decode(ids) for ids in column], dtype=object)
 
     return decode
@@ -421,10 +439,11 @@ def round_trip_udf(spark: SparkSession, path: str | None = None):
     held = spark.sparkContext.broadcast(vocabulary_text(path))
 
     @F.pandas_udf("ids array<int>, decoded string")
-    def both(column: pd.Series) -> pd.DataFrame:
-        encoder = worker_encoder(held.value)
-        ids = encoder.encode(column.tolist())
-        return pd.DataFrame({"ids": ids, "decoded": [encoder.decode(i) for i in ids]})
+    def both(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        with task_encoder(held.value) as encoder:
+            for column in columns:
+                ids = encoder.encode(column.tolist())
+                yield pd.DataFrame({"ids": ids, "decoded": [encoder.decode(i) for i in ids]})
 
     return both.asNondeterministic()
 

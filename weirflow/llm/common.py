@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import pickle
 import sys
@@ -28,17 +29,36 @@ def worker_store(name: str) -> dict:
     return holder.__dict__.setdefault(name, {})
 
 
+def give_back() -> None:
+    """What this worker no longer uses goes back to the machine; the C library would keep most of it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def let_go() -> None:
+    """What earlier tasks have left and this one has not asked for goes.  For steps that make nothing to keep:
+    a worker that was busy with another stage would hold the things of that one beside theirs."""
+    store, context = worker_store("things"), TaskContext.get()
+    task = context.taskAttemptId() if context else None
+    left = [k for k, (_, last) in store.items() if last != task]
+    for old in left:
+        del store[old]
+    if left:
+        give_back()
+
+
 def made_once(key: object, make: Callable[[], object]) -> object:
     """What ``make`` gives, made once in a worker.  Before something new is made, what earlier tasks have left
     and this one has not asked for goes, so a worker that serves many stages holds the things of one."""
     store, context = worker_store("things"), TaskContext.get()
     task = context.taskAttemptId() if context else None
     if key not in store:
-        for old in [k for k, (_, last) in store.items() if last != task]:
-            del store[old]
-        gc.collect()
-        pa.default_memory_pool().release_unused()
+        let_go()
         store[key] = (make(), task)
+        give_back()  # what only the making needed
     thing = store[key][0]
     store[key] = (thing, task)
     return thing

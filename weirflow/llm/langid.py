@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import own_prefix, remainder, sent, travels, without
+from weirflow.llm.common import let_go, own_prefix, remainder, sent, travels, without
 
 DIM = 1 << 15
 ORDERS = (1, 2, 3)
@@ -151,6 +151,7 @@ class LanguageModel:
 
 
 def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    let_go()
     seen, rows = np.zeros(DIM, np.int64), 0
     for batch in batches:
         for text in batch["text"]:
@@ -176,6 +177,7 @@ def document_frequencies(learn: DataFrame) -> tuple[np.ndarray, int]:
 
 def _vectorise(idf: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        let_go()
         for batch in batches:
             made = [vector(ngram_counts(t), idf) for t in batch["text"]]
             yield pd.DataFrame({"lang": batch["lang"], "order": batch["order"], "i": [m[0].astype(np.int32).tobytes() for m in made], "v": [m[1].astype(np.float32).tobytes() for m in made]})
@@ -256,6 +258,7 @@ def rareness(text: str, idf: np.ndarray) -> float:
 
 
 def _trigram_frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    let_go()
     seen, rows = np.zeros(TRIGRAMS, np.int64), 0
     for batch in batches:
         for text in batch["text"]:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from weirflow.llm.common import DROP_BITS, add_bitmap_test, key_bitmap, texts, travels, write_table
+from weirflow.llm.common import DROP_BITS, add_bitmap_test, key_bitmap, let_go, texts, travels, write_table
 from weirflow.llm.components import components
 
 SEED = 42
@@ -68,6 +68,7 @@ def set_print(own: np.ndarray) -> bytes:
 
 @F.pandas_udf(ArrayType(LongType()))
 def _sets(column: pd.Series, sizes: pd.Series) -> pd.Series:
+    let_go()
     return pd.Series([shingle_set(text, size).view(np.int64) for text, size in zip(column, sizes)])
 
 
