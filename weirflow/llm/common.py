@@ -98,6 +98,15 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that moves both sides by their keys, whatever size Spark takes them for.
+
+    Spark sizes a table by its compressed files and does not count the rows that an explode makes, so it
+    may send one through the driver that is many times larger than what its threshold allows.
+    """
+    return df.hint("merge")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
