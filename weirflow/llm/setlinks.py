@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from weirflow.llm.common import DROP_BITS, add_bitmap_test, key_bitmap, let_go, texts, travels, write_table
+from weirflow.llm.common import DROP_BITS, add_bitmap_test, key_bitmap, let_go, shuffled, texts, travels, write_table
 from weirflow.llm.components import components
 
 SEED = 42
@@ -109,9 +109,9 @@ def set_links(docs: DataFrame, text: str, sets: DataFrame, shingle: int, above:
     ``sets`` is one row a distinct set: fp, mark (see :func:`verified`), n (its size), odd
     (its odd sketch) and keys (an array).  Sets without keys are linked with nothing.
     """
-    entries = sets.select("fp", F.explode("keys").alias("key"))
+    entries = shuffled(sets.select("fp", F.explode("keys").alias("key")))
     crowded = entries.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
-    members = write_table(entries.join(crowded, "key"), "links-members")
+    members = shuffled(write_table(entries.join(crowded, "key"), "links-members"))  # few bytes a row in a file, where groups are large
     # The leader of a bucket is its member that meets most others in all its buckets.
     known = members.groupBy("fp").agg(F.sum("members").alias("met"))
     known = write_table(known.join(sets.select("fp", "n", "odd"), "fp"), "links-known")
